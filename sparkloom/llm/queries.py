@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding
+from . import quality, sharding
 from .common import documents
 
 N_SHARDS = 24
@@ -17,8 +17,16 @@ def op7_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.feistel_shards(documents(spark, sf_dir).select("doc_id", "text"), N_SHARDS)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality.quality_report(documents(spark, sf_dir)).select("doc_id", *[F.col(f"quality.{n}").alias(n) for n in names])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_quality_rules": op9_quality_rules,
     "op7_feistel_sharding": op7_feistel_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_quality_rules": quality.QUALITY_SQL,
+}
