@@ -7,22 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sharding
-from .common import documents
+from . import quality, sharding, tokens
+from .common import documents, written
 
 N_SHARDS = 24
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op7_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.feistel_shards(documents(spark, sf_dir).select("doc_id", "text"), N_SHARDS)
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    histogram = written(tokens.length_histogram(documents(spark, sf_dir), tokenizer_path()), "lengths")
+    return tokens.length_report(histogram)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return quality.quality_report(documents(spark, sf_dir)).select("doc_id", *[F.col(f"quality.{n}").alias(n) for n in names])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op7_feistel_sharding": op7_feistel_sharding,
 }
