@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sharding, tokens
+from . import quality, sharding, store, tokens
 from .common import documents, written
 
 N_SHARDS = 24
+END_ID = 2
 
 
 def tokenizer_path() -> str:
@@ -19,6 +20,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_content_addressed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.store_and_digest(documents(spark, sf_dir), tokenizer_path(), END_ID)
+
+
 def op7_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.feistel_shards(documents(spark, sf_dir).select("doc_id", "text"), N_SHARDS)
 
@@ -34,6 +39,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_content_addressed_store": op3_content_addressed_store,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op7_feistel_sharding": op7_feistel_sharding,
