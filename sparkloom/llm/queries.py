@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sharding, store, tokens
+from . import mixing, quality, sharding, store, tokens
 from .common import documents, written
 
 N_SHARDS = 24
@@ -20,6 +20,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_content_addressed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.store_and_digest(documents(spark, sf_dir), tokenizer_path(), END_ID)
 
@@ -39,6 +43,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
     "op3_content_addressed_store": op3_content_addressed_store,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
