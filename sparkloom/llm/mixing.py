@@ -18,7 +18,7 @@ source in the order drawn, and its rows are shuffled locally by a hash of key an
 
 Edge cases: a null text has no words, and a row without words is taken or not without
 effect on the sums; a null source is a source; rows equal in doc_id and text share a key,
-and where the cut falls between them as many are taken as come nearest to the target;
+and where the cut falls between them as many are taken as fit the target;
 with no words at all every target is 0; an empty table gives an empty mix; other columns
 are carried along.
 """
@@ -36,7 +36,9 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 SEED = 20240
-MAX_BITS, SUB_BITS, BLOCK_ROWS = 12, 12, 64
+MAX_BITS, SUB_BITS, BLOCK_ROWS = 12, 12, 4
+#: Later rows that may fill the gap before a source's cut.
+FILLERS = 2
 _P = "__mix_"
 
 
@@ -109,22 +111,33 @@ def mixing_plan(rows: DataFrame, shards: int = 16, seed: int = SEED, share: floa
     last = last.groupBy("sid", "key", "rest").agg(F.max("size").alias("size"), F.count("*").alias("n"))
     upto = Window.partitionBy("sid").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     last = last.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("n")).over(upto), F.lit(0))).filter(F.col("before") < F.col("rest"))
-    take = F.least(F.col("n"), F.coalesce(F.round(F.try_divide(F.col("rest") - F.col("before"), F.col("size"))), F.col("n"))).cast("long")
-    last = last.groupBy("sid").agg(F.max(F.struct("key", take.alias("take"), "n")).alias("c")).select("sid", "c.key", "c.take", "c.n")
-    last = last.select("sid", F.col("key").alias("cut_key"), F.col("take").alias("cut_take"), (F.col("take") == F.col("n")).alias("cut_whole"))
-    plan = plan.join(first.select("sid", "block"), "sid", "left").join(last, "sid", "left")
+    take = F.least(F.col("n"), F.coalesce(F.floor(F.try_divide(F.col("rest") - F.col("before"), F.col("size"))), F.col("n"))).cast("long")
+    gap = F.col("rest") - F.col("before") - take * F.col("size")
+    last = last.groupBy("sid").agg(F.max(F.struct("key", take.alias("take"), "n", gap.alias("gap"))).alias("c"))
+    last = last.select("sid", F.col("c.key").alias("cut_key"), F.col("c.take").alias("cut_take"), (F.col("c.take") == F.col("c.n")).alias("cut_whole"), F.col("c.gap").alias("gap"))
+    last = last.withColumn("fill_keys", F.array().cast("array<long>"))
+    # The row at the cut may be long: the largest later rows that fit fill what it would have.
+    for _ in range(FILLERS):
+        last = written(last, "mix-cuts")
+        fits = keyed.join(last.select("sid", "cut_key", "gap", "fill_keys"), "sid")
+        fits = fits.filter((F.col("key") > F.col("cut_key")) & (F.col("size") <= F.col("gap")) & (F.col("size") > 0) & ~F.array_contains("fill_keys", F.col("key")))
+        fits = fits.groupBy("sid").agg(F.max(F.struct("size", "key")).alias("f"))
+        filled = F.concat("fill_keys", F.when(F.col("f").isNull(), F.array().cast("array<long>")).otherwise(F.array("f.key")))
+        gap = F.col("gap") - F.coalesce(F.col("f.size"), F.lit(0))
+        last = last.join(fits, "sid", "left").select("sid", "cut_key", "cut_take", "cut_whole", gap.alias("gap"), filled.alias("fill_keys"))
+    plan = plan.join(first.select("sid", "block"), "sid", "left").join(last.drop("gap"), "sid", "left")
     drawn = F.expr("epochs * shiftleft(1L, bits) + coalesce(block + 1, 0L)").alias("drawn")
-    names = ["source", "source_size", "rows", "weight", "target", "epochs", "bits", "cut_key", "cut_take", "cut_whole"]
-    plan = plan.select(*names, drawn)
+    names = ["source", "source_size", "rows", "weight", "target", "epochs", "bits", "cut_key", "cut_take", "cut_whole", "fill_keys"]
+    plan = written(plan.select("sid", *names, drawn), "mix-cuts")
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["source"], na_position="last", kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values("sid", kind="stable").reset_index(drop=True)
         leaves = _tree(pdf["drawn"].to_numpy(np.int64), shards, np.random.Generator(np.random.PCG64(seed)))
-        pdf["shard_ends"] = list(np.cumsum(leaves, axis=1))
-        return pdf
+        return pd.DataFrame({"sid": pdf["sid"], "shard_ends": list(np.cumsum(leaves, axis=1))})
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plan.schema.fields)
-    return written(plan.groupBy().applyInPandas(split, f"{schema}, shard_ends array<long>"), "mix-plan")
+    # One row per source and none of a document: the tree's quotas fit in one task.
+    leaves = plan.select("sid", "drawn").groupBy().applyInPandas(split, "sid long, shard_ends array<long>")
+    return written(plan.join(leaves, "sid").drop("sid"), "mix-plan")
 
 
 def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -132,12 +145,14 @@ def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
     p = plan.select(F.col("source").alias(f"{_P}source"), F.struct(*[c for c in plan.columns if c != "source"]).alias(f"{_P}plan"))
     joined = rows.join(p, F.col("source").eqNullSafe(F.col(f"{_P}source"))).drop(f"{_P}source")
     key, cut = F.col(f"{_P}key"), F.col(f"{_P}plan.cut_key")
-    split_here = F.coalesce((key == cut) & ~F.col(f"{_P}plan.cut_whole"), F.lit(False))
+    filler = F.coalesce(F.array_contains(f"{_P}plan.fill_keys", key), F.lit(False))
+    alone = filler | F.coalesce((key == cut) & ~F.col(f"{_P}plan.cut_whole"), F.lit(False))
     rest = F.coalesce(key <= cut, F.lit(False)).cast("int")
-    clear = joined.filter(~split_here).withColumn(f"{_P}copies", F.col(f"{_P}plan.epochs") + rest)
-    # Rows equal to the one row at which a source is cut, if the cut falls among them.
-    tie = F.row_number().over(Window.partitionBy(f"{_P}plan.cut_key").orderBy(f"{_P}key"))
-    among = joined.filter(split_here).withColumn(f"{_P}copies", F.col(f"{_P}plan.epochs") + (tie <= F.col(f"{_P}plan.cut_take")).cast("int"))
+    clear = joined.filter(~alone).withColumn(f"{_P}copies", F.col(f"{_P}plan.epochs") + rest)
+    # The row at which a source is cut and those that fill the gap, each with the rows equal to it.
+    tie = F.row_number().over(Window.partitionBy("source", f"{_P}key").orderBy("doc_id"))
+    most = F.when(filler, F.lit(1)).otherwise(F.col(f"{_P}plan.cut_take"))
+    among = joined.filter(alone).withColumn(f"{_P}copies", F.col(f"{_P}plan.epochs") + (tie <= most).cast("int"))
     return clear.unionByName(among)
 
 
@@ -163,7 +178,9 @@ def mix(docs: DataFrame, shards: int = 16, seed: int = SEED, **options) -> DataF
         THEN copy * shiftleft(1L, {_P}plan.bits) + ((shiftright({_P}key, 63 - {_P}plan.bits) * (2 * copy + 5) + {seed}) & (shiftleft(1L, {_P}plan.bits) - 1))
         ELSE {_P}plan.epochs * shiftleft(1L, {_P}plan.bits) + shiftright({_P}key, 63 - {_P}plan.bits) END""")
     drawn = drawn.withColumn(f"{_P}index", index)
-    shard = F.size(F.filter(f"{_P}plan.shard_ends", lambda end: end <= F.col(f"{_P}index")))
+    # A row that fills the gap goes where its source's last block went.
+    last = F.least(F.col(f"{_P}index"), F.col(f"{_P}plan.drawn") - 1)
+    shard = F.size(F.filter(f"{_P}plan.shard_ends", lambda end: end <= last))
     return drawn.select(*docs.columns, shard.alias("shard"), F.xxhash64(F.lit(seed + 1), f"{_P}key", "copy").alias("slot_key"), "copy")
 
 
