@@ -38,7 +38,7 @@ MOST = 2
 SEED = 20240
 MAX_BITS, SUB_BITS, BLOCK_ROWS = 12, 12, 4
 #: Later rows that may fill the gap before a source's cut.
-FILLERS = 2
+FILLERS = 4
 _P = "__mix_"
 
 
