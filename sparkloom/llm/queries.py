@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding, store, tokens
+from . import mixing, ngram_join, quality, sharding, store, tokens
 from .common import documents, written
 
 N_SHARDS = 24
@@ -28,6 +28,10 @@ def op3_content_addressed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.store_and_digest(documents(spark, sf_dir), tokenizer_path(), END_ID)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(documents(spark, sf_dir))
+
+
 def op7_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.feistel_shards(documents(spark, sf_dir).select("doc_id", "text"), N_SHARDS)
 
@@ -45,6 +49,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op3_content_addressed_store": op3_content_addressed_store,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op7_feistel_sharding": op7_feistel_sharding,

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 U64 = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240229))
@@ -125,12 +126,19 @@ def shingles(words: np.ndarray, begin: np.ndarray, k: int) -> tuple[np.ndarray,
 
 def distinct_per_text(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values of every text, with n+1 offsets."""
-    if not len(values):
-        return values, offsets
-    text_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    order = np.lexsort((values, text_of))
-    values = values[order]  # text_of is unchanged: it is the primary key and was sorted
-    keep = np.ones(len(values), dtype=bool)
-    keep[1:] = (values[1:] != values[:-1]) | (text_of[1:] != text_of[:-1])
-    kept = np.concatenate([[0], np.cumsum(np.bincount(text_of[keep], minlength=len(offsets) - 1))])
-    return values[keep], kept
+    parts = [np.unique(values[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    kept = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+    return np.concatenate(parts) if parts else values[:0], kept
+
+
+def shingle_sets(column: pa.Array, k: int, step_bytes: int = 1 << 22):
+    """(first row, values, offsets) for slices of a text column: the sorted distinct k-word shingles of every text."""
+    n, begin = len(column), 0
+    lengths = pa.compute.binary_length(column.cast(pa.large_string())).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) if n else np.zeros(0, np.int64)
+    upto = np.cumsum(lengths)
+    while begin < n:
+        done = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, done + step_bytes, side="right")))
+        words, first = word_hashes(*text_buffers(column.slice(begin, end - begin)))
+        yield begin, *distinct_per_text(*shingles(words, first, k))
+        begin = end
