@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ngram_join, quality, sharding, store, tokens
+from . import decontaminate, mixing, ngram_join, quality, sharding, store, tokens
 from .common import documents, written
 
 N_SHARDS = 24
@@ -46,15 +46,21 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir)).select("doc_id", *[F.col(f"quality.{n}").alias(n) for n in names])
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op3_content_addressed_store": op3_content_addressed_store,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op7_feistel_sharding": op7_feistel_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op10_benchmark_decontamination": decontaminate.DECONTAMINATE_SQL,
     "op9_quality_rules": quality.QUALITY_SQL,
 }
