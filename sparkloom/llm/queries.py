@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, ngram_join, quality, sharding, store, tokens
+from . import decontaminate, mixing, ngram_join, pii, quality, sharding, store, tokens
 from .common import documents, written
 
 N_SHARDS = 24
@@ -24,6 +24,10 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_report(documents(spark, sf_dir))
+
+
 def op3_content_addressed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.store_and_digest(documents(spark, sf_dir), tokenizer_path(), END_ID)
 
@@ -52,6 +56,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_pii": op2_pii,
     "op3_content_addressed_store": op3_content_addressed_store,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_token_counts": op8_token_counts,
