@@ -59,7 +59,7 @@ CONTEXT = {
     "card": r"(?i)card|visa|master|amex|karte|carte|tarjeta|credit|pay",
     "phone": r"(?i)phone|tel|call|fax|mobil|handy|cell|tél|móvil",
 }
-FEATURES = ("chars", "digits", "marks", "checks", "kinds_of_digit", "letters", "said", "joined_left", "joined_right", "groups", "longest", "dots", "domain", "colons")
+FEATURES = ("chars", "digits", "marks", "checks", "kinds_of_digit", "letters", "said", "joined_left", "joined_right", "groups", "longest", "dots", "domain", "colons", "written")
 
 
 def _luhn(digits: str) -> str:
@@ -122,6 +122,7 @@ def _features(kind: str, x: str, text: str) -> str:
         "dots": rf"length({x}.m) - length(replace({x}.m, '.', ''))",
         "domain": rf"CASE WHEN {x}.m RLIKE r'(?i)[.\x20\])](com|org|net|edu|info|io|de|fr|es|uk|eu)$' THEN 1 ELSE 0 END",
         "colons": f"length({x}.m) - length(replace({x}.m, ':', ''))",
+        "written": rf"CASE WHEN {x}.m RLIKE r'(?i)[(\[](at|dot)[)\]]|\x20dot\x20' THEN 1 ELSE 0 END",
     }
     return "named_struct(" + ", ".join(f"'{n}', cast({values[n]} AS double)" for n in FEATURES) + ")"
 
@@ -151,7 +152,7 @@ def labelled_examples(n: int = EXAMPLES, seed: int = 11) -> list[tuple[str, str,
                 tld = r.choice(("com", "org", "net", "de", "fr", "es"))
                 span = f"{word()}.{word()}{r.randint(0, 99)}{at}{word()}{dot}{tld}" if yes else r.choice((f"{word()} at {word()}. {word()}", f"{word()} at {word()}.{word()}", f"{word()} @ {word()}. {word()}"))
             elif kind == "ip":
-                span = ":".join(f"{r.randrange(1 << 16):x}" for _ in range(8)) if yes else r.choice((f"{r.randint(0, 23)}:{r.randint(10, 59)}:{r.randint(10, 59)}", f"{r.randint(1, 9)}:{r.randint(1, 9)}:{r.randint(1, 99)}", ":".join(digits(2) for _ in range(r.randint(3, 6)))))
+                span = ":".join(f"{r.randrange(1 << r.choice((1, 4, 16, 16))):x}" for _ in range(8)) if yes else r.choice((f"{r.randint(0, 23)}:{r.randint(10, 59)}:{r.randint(10, 59)}", f"{r.randint(1, 9)}:{r.randint(1, 9)}:{r.randint(1, 99)}", ":".join(digits(2) for _ in range(r.randint(3, 6)))))
             elif kind == "card":
                 sep = r.choice((".", "/", "_", "  ", " ", "-"))
                 if yes:
