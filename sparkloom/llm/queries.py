@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, ngram_join, pii, quality, sharding, store, tokens
+from . import decontaminate, mixing, ngram_join, pii, quality, secrets, sharding, store, tokens
 from .common import documents, written
 
 N_SHARDS = 24
@@ -36,6 +36,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(documents(spark, sf_dir))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(documents(spark, sf_dir))
+
+
 def op7_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.feistel_shards(documents(spark, sf_dir).select("doc_id", "text"), N_SHARDS)
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op6_secret_scan": op6_secret_scan,
     "op7_feistel_sharding": op7_feistel_sharding,
 }
 

@@ -36,7 +36,7 @@ def sha(spans) -> str:
 def secrets(text: str | None) -> list[tuple[str, int, int]]:
     text, out = text or "", []
     kinds = ("assign", "access", "hex")
-    for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
         if len(m[2]) >= 8:
             out.append(("assign", m.start(), m.end()))
     out += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
