@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, ngram_join, pii, quality, secrets, sharding, store, tokens
+from . import decontaminate, language, mixing, ngram_join, pii, quality, secrets, sharding, store, tokens
 from .common import documents, written
 
 N_SHARDS = 24
@@ -32,6 +32,10 @@ def op3_content_addressed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.store_and_digest(documents(spark, sf_dir), tokenizer_path(), END_ID)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(documents(spark, sf_dir))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_pii": op2_pii,
     "op3_content_addressed_store": op3_content_addressed_store,
+    "op4_language_id": op4_language_id,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
