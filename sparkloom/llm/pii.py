@@ -150,7 +150,11 @@ def labelled_examples(n: int = EXAMPLES, seed: int = 11) -> list[tuple[str, str,
             if kind == "email":
                 at, dot = r.choice(((" (at) ", "."), ("(at)", "."), ("[at]", "."), (" [at] ", " [dot] "), (" at ", " dot "), (" @ ", ".")))
                 tld = r.choice(("com", "org", "net", "de", "fr", "es"))
-                span = f"{word()}.{word()}{r.randint(0, 99)}{at}{word()}{dot}{tld}" if yes else r.choice((f"{word()} at {word()}. {word()}", f"{word()} at {word()}.{word()}", f"{word()} @ {word()}. {word()}"))
+                tail = str(r.randint(0, 99)) if r.random() < 0.4 else ""
+                if yes:
+                    span = f"{word()}{r.choice(('.', '', '_'))}{word()}{tail}{at}{word()}{dot}{tld}"
+                else:
+                    span = r.choice((f"{word()}{tail} at {word()}. {word()}", f"{word()}{tail} at {word()}.{word()}", f"{word()} @ {word()}. {word()}"))
             elif kind == "ip":
                 span = ":".join(f"{r.randrange(1 << r.choice((1, 4, 16, 16))):x}" for _ in range(8)) if yes else r.choice((f"{r.randint(0, 23)}:{r.randint(10, 59)}:{r.randint(10, 59)}", f"{r.randint(1, 9)}:{r.randint(1, 9)}:{r.randint(1, 99)}", ":".join(digits(2) for _ in range(r.randint(3, 6)))))
             elif kind == "card":
