@@ -1,0 +1,473 @@
+"""The training-data operators against plain versions, on small tables with every odd case."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sparkloom.llm import automata, boosting, decontaminate, language, mixing, ngram_join, pii, quality, secrets, sharding, shingles, store, tokens
+from sparkloom.llm.components import connected_components
+
+DATA = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def tokenizer_path() -> str:
+    return pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in any column, empty and long texts, ties, repeated rows, near copies."""
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    base = [r.choice(words) for _ in range(120)]
+    near = list(base)
+    near[50] = "changed"
+    rows = [
+        (1, " ".join(base), "en", "a", 1),
+        (2, " ".join(near), "en", "a", 1),
+        (3, " ".join(base).upper(), None, None, None),
+        (4, None, "en", "b", 0),
+        (5, "", None, "b", 0),
+        (6, " \t\n ", "de", None, 0),
+        (7, "one two", "de", "c", 0),
+        (7, "one two", "de", "c", 0),
+        (8, "One TWO", "de", "c", 0),
+        (None, "no id here at all", "fr", "c", 0),
+        (None, None, None, None, None),
+        (9, "x" * 200_000, "en", "d", 0),
+        (10, "a b " * 20_000, "en", "d", 0),
+        (11, "1 2 3 " * 30_000, "en", "d", 0),
+        (12, " ".join(r.choice(words) for _ in range(80)), "en", "a", 0),
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_empty_tables_give_empty_results(spark, nothing):
+    path = tokenizer_path()
+    bench = spark.createDataFrame([], "item_id long, text string")
+    for df in (
+        mixing.taken(nothing), mixing.mixed_documents(nothing), pii.span_report(nothing), store.store_and_digest(nothing, path, 2), language.language_report(nothing),
+        ngram_join.ngram_components(nothing), ngram_join.one_of_each_group(nothing), secrets.secret_report(nothing), sharding.feistel_shards(nothing),
+        tokens.length_report(tokens.length_histogram(nothing, path)), quality.quality_report(nothing), decontaminate.contaminated(nothing, bench), decontaminate.clean_documents(nothing, bench),
+    ):
+        assert df.count() == 0
+
+
+def test_clashing_columns_are_carried_along(spark, odd):
+    extra = odd.limit(3).withColumns({"quality": F.lit(1), "copy": F.lit("c"), "shard": F.lit(9), "size": F.lit(2), "class": F.lit("k"), "words": F.lit("w")})
+    bench = spark.createDataFrame([], "item_id long, text string")
+    for f in (quality.quality_filter, ngram_join.one_of_each_group, mixing.mixed_documents, pii.redacted, secrets.masked, lambda d: decontaminate.clean_documents(d, bench)):
+        assert f(extra).columns == extra.columns
+
+
+# 1
+
+
+def plain_targets(sizes: dict) -> dict:
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [s for s in sizes if s is None]
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    target, left, free = dict.fromkeys(names, 0.0), 1.5 * sum(sizes.values()), set(names)
+    while left > 1e-9 and free:
+        total = sum(weight[s] for s in free)
+        share, left = {s: left * weight[s] / total for s in free}, 0.0
+        for s in list(free):
+            target[s] += share[s]
+            if target[s] >= 2 * sizes[s]:
+                left += target[s] - 2 * sizes[s]
+                target[s] = 2.0 * sizes[s]
+                free.discard(s)
+    return target
+
+
+def test_mixing_meets_its_targets(small, odd):
+    for docs, slack in ((small, 0.05), (odd, 1.0)):
+        got = mixing.taken(docs).collect()
+        sizes: Counter = Counter()
+        for r in docs.collect():
+            sizes[r.source] += len(brute.WORD.findall(r.text or ""))
+        want = plain_targets(dict(sizes))
+        assert len(got) == docs.count()
+        for source in sizes:
+            mine = [r for r in got if r.source == source]
+            assert all(r.source_size == sizes[source] and r.taken <= 2 * r.size for r in mine)
+            assert mine[0].target == pytest.approx(want[source])
+            longest = max((r.size for r in mine), default=0)
+            assert abs(sum(r.taken for r in mine) - want[source]) <= max(slack * want[source], longest)
+    assert sorted(map(str, mixing.taken(small).collect())) == sorted(map(str, mixing.taken(small.repartition(5)).collect()))
+
+
+def test_mix_rows_agree_with_the_report(small):
+    copies = {r.doc_id: r.copies for r in mixing.taken(small).collect()}
+    rows = mixing.mix(small).collect()
+    assert Counter(r.doc_id for r in rows) == Counter({k: v for k, v in copies.items() if v})
+    assert all(0 <= r.shard < 16 for r in rows)
+
+
+# 2
+
+
+def test_pii_spans(spark, odd):
+    r = random.Random(5)
+    parts = ["@", ".", "+", "1", "23", "4111111111111111", "4111 1111 1111 1111", "-", " ", "a", "b_", "é", "(", ")", "255", "256", "mail", ".com", "\n", "%", "-1"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 25))) for _ in range(1500)]
+    texts += [None, "", "1" * 3000, "a" * 20_000 + "@", "x@y.z " * 300, "1." * 5000, "+1" + " 2" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in pii.span_report(docs).collect():
+        want = brute.pii(texts[row.doc_id])
+        kinds = Counter(k for k, _, _ in want)
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == tuple(kinds[k] for k in pii.KINDS)
+        assert row.base_sha256 == brute.sha(want)
+        assert set(filter(None, brute.listed(want).split(","))) <= set(row.spans.split(","))
+    assert pii.span_report(odd).count() == odd.count()
+
+
+def test_pii_proposals_catch_variants_and_leave_prose_alone(spark):
+    docs = spark.createDataFrame([(1, "call (415) 555-1234 or mail jo.do (at) foo.com now"), (2, "It was at the end. In 1999-12-10 we met 12 345 67 times at noon.")], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.span_report(docs).collect()}
+    assert got == {1: "email:28:46,phone:5:19", 2: ""}
+    assert pii.redacted(docs).filter("doc_id = 1").first().text == "call [phone] or mail [email] now"
+
+
+def test_boosting_separates(spark):
+    x = np.random.default_rng(1).random((400, 3))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    model = boosting.fit(x, y, rounds=30)
+    assert ((model.probability(x) > 0.5) == (y > 0.5)).mean() > 0.95
+    df = spark.createDataFrame([tuple(map(float, v)) for v in x[:50]], "a double, b double, c double")
+    got = [r[0] for r in df.selectExpr(model.sql(["a", "b", "c"])).collect()]
+    assert got == pytest.approx(list(model.probability(x[:50])))
+
+
+# 3 and 8
+
+
+def test_piecewise_encoding_is_whole_text_encoding():
+    encoder = tokens.PieceEncoder(tokenizer_path(), 2, cache_pieces=50)
+    r = random.Random(1)
+    parts = [" ", " ", "\n", "a", "b", "'s", "é", "1", "23", "!", "　", "  ", "<|endoftext|>", "漢", "\t", "'ll", "́", "x"]
+    for _ in range(20):
+        texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(100)] + [None, ""]
+        ids, counts = encoder.encode(texts)
+        for t, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+            assert part.tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
+
+
+def plain_digests(rows, encoder):
+    out, start = [], 0
+    for doc_id, text in rows:
+        ids = np.array(encoder.tokenizer.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
+        out.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_store_round_trip(spark, small, tmp_path):
+    path = f"file://{tmp_path}/store"
+    docs = small.unionByName(spark.createDataFrame([(10_000, None, None, None, None), (10_001, "", None, None, None), (10_002, "word " * 30_000, None, None, None)], SCHEMA))
+    store.write_store(docs, path, tokenizer_path(), 2)
+    encoder = tokens.PieceEncoder(tokenizer_path())
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    want = plain_digests(rows, encoder)
+    assert sorted(tuple(r) for r in store.read_digests(spark, path).collect()) == want
+    back = {r.doc_id: list(r.ids) for r in store.read_documents(spark, path).collect()}
+    assert all(back[d] == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for d, t in rows)
+    chunks = spark.read.parquet(f"{path}/chunks").filter("ids IS NOT NULL")
+    assert chunks.count() == chunks.select("digest").distinct().count()
+    recipes = spark.read.parquet(f"{path}/recipes")
+    spark.createDataFrame(recipes.filter("doc_id <> 3").collect(), recipes.schema).write.parquet(f"{path}-broken/recipes")
+    for name in ("chunks", "manifest", "head"):
+        spark.read.parquet(f"{path}/{name}").write.parquet(f"{path}-broken/{name}")
+    with pytest.raises(store.StoreError):
+        store.verify_manifest(spark, f"{path}-broken")
+
+
+def test_store_takes_repeated_and_null_ids(odd):
+    got = store.store_and_digest(odd, tokenizer_path(), 2).collect()
+    assert len(got) == odd.count()
+    spans = sorted((r.start, r.start + r.n_tokens) for r in got)
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_crcs_combine():
+    r = np.random.default_rng(3)
+    a, b = r.bytes(1001), r.bytes(77)
+    shifted = store.shift_crc(np.array([zlib.crc32(a)]), np.array([len(b)]))
+    assert int(shifted[0]) ^ zlib.crc32(b) == zlib.crc32(a + b)
+
+
+def test_length_report(odd):
+    lengths = sorted(len(tokens.PieceEncoder(tokenizer_path()).tokenizer.encode(r.text or "", add_special_tokens=False).ids) for r in odd.collect())
+    histogram = tokens.length_histogram(odd, tokenizer_path())
+    report = tokens.length_report(histogram, span=4).collect()
+    assert {r.n_tokens: r.n_docs for r in report} == Counter(lengths)
+    for r in report:
+        assert r.docs_upto == sum(x <= r.n_tokens for x in lengths)
+        assert r.tokens_over == sum(x for x in lengths if x > r.n_tokens)
+        assert r.tokens_kept == sum(min(x, r.n_tokens) for x in lengths)
+        assert r.tokens_kept + r.tokens_cut == sum(lengths)
+    assert tokens.at_limits(histogram, [5]).first()["kept_5"] == sum(min(x, 5) for x in lengths)
+    assert tokens.length_quantile(tokens.length_report(histogram), 0.5).first()[0] == lengths[math.ceil(0.5 * len(lengths)) - 1]
+
+
+# 4
+
+
+def test_language_of_held_out_documents(small):
+    got = {r.doc_id: r for r in language.language_report(small).collect()}
+    held = [r for r in small.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert held and all(got[r.doc_id].held_out for r in held)
+    assert sum(got[r.doc_id].lang_pred == r.lang for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_language_odd_cases_and_spans(spark, small, odd):
+    got = language.language_report(odd).collect()
+    assert len(got) == odd.count()
+    texts = [r.text for r in odd.collect()]
+    assert sorted(r.lang_pred == "und" for r in got) == sorted(not re.search(r"[^\W\d_]", t or "") for t in texts)
+    model = language.learn(language.training_rows(small))
+    by_lang = {r.lang: r.text for r in small.filter("n_chars > 900").collect()}
+    mixed = " ".join(by_lang["en"].split()[:60] + by_lang["de"].split()[:60])
+    _, _, (_, _, _, labels) = language.label_texts(model, [mixed])
+    names = [model.languages[x] for x in labels]
+    assert names[5] == "en" and names[-5] == "de"
+    assert sum(a != b for a, b in zip(names, names[1:])) <= 4
+
+
+def test_viterbi_is_the_best_path():
+    r = np.random.default_rng(2)
+    scores = r.normal(size=(7, 3)).astype(np.float32) * 3
+    labels = language.best_paths(scores, np.array([0, 4, 4, 7]), 1.5)
+
+    def best(part):
+        import itertools
+
+        return max(itertools.product(range(3), repeat=len(part)), key=lambda p: sum(part[i, k] for i, k in enumerate(p)) - 1.5 * sum(a != b for a, b in zip(p, p[1:])))
+
+    assert tuple(labels) == best(scores[:4]) + best(scores[4:])
+
+
+# 5
+
+
+def components_of(rows):
+    sets = [brute.shingle_set(t) for _, t in rows]
+    root = brute.components(sets)
+    smallest: dict[int, int] = {}
+    for (d, _), k in zip(rows, root):
+        if d is not None:
+            smallest[k] = min(smallest.get(k, d), d)
+    return Counter((d, len(s), (smallest.get(k) if s else d)) for (d, _), s, k in zip(rows, sets, root))
+
+
+def test_components_match_brute_force(spark, small, odd):
+    r = random.Random(8)
+    base = [r.choice("abcdefghijklmnopqrstuvwxyz") * r.randint(1, 3) for _ in range(150)]
+    grown = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(i % 9):
+            w[r.randrange(len(w))] = f"z{r.randrange(10**6)}"
+        grown.append((100 + i, " ".join(w)))
+    cases = [(r.doc_id, r.text) for r in odd.collect() if r.doc_id not in (9, 10, 11)]
+    for rows in (cases, grown, [(r.doc_id, r.text) for r in small.collect()]):
+        got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == components_of(rows)
+
+
+def test_one_of_each_group_stays(odd):
+    got = sorted((r.doc_id for r in ngram_join.one_of_each_group(odd).collect()), key=lambda x: (x is None, x))
+    assert got == [1, 4, 5, 6, 7, 9, 10, 11, 12, None, None]
+
+
+def test_filters_never_exclude_a_link():
+    r = np.random.default_rng(6)
+    ranks = r.integers(0, 20, 1 << ngram_join.SKETCH_BITS).astype(np.uint8)
+    for _ in range(300):
+        n = int(r.integers(1, 400))
+        common = r.integers(0, 2**63, n, dtype=np.uint64)
+        x, y = (np.unique(np.concatenate([common, r.integers(0, 2**63, int(r.integers(0, 1 + n // 8)), dtype=np.uint64)])) for _ in range(2))
+        i = len(np.intersect1d(x, y))
+        if ngram_join.linked(i, len(x), len(y), 80):
+            for o in range(len(ngram_join.ORDERS)):
+                assert len(np.intersect1d(ngram_join.token_prefix(x, ranks, o, 80), ngram_join.token_prefix(y, ranks, o, 80)))
+        d = ngram_join.sketch_distance(ngram_join.parity_sketch(x, ngram_join.wide_bits(len(x))), ngram_join.parity_sketch(y, ngram_join.wide_bits(len(y))))
+        assert d <= len(x) + len(y) - 2 * i
+
+
+def test_chains_are_one_component(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
+    got = {r.node: r.root for r in connected_components(edges).collect()}
+    assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100}
+
+
+def test_shingles_are_word_shingles(odd):
+    import pyarrow as pa
+
+    texts = ["a b c d e f", "A B c d E f", "a b", "", None, " a\tb \n", "a b c d e f a b c d e f"]
+    sizes, sets = [], []
+    for _, values, offsets in shingles.shingle_sets(pa.array(texts), 5):
+        for a, b in zip(offsets[:-1], offsets[1:]):
+            sets.append(frozenset(values[a:b].tolist()))
+            sizes.append(b - a)
+    assert sizes == [len(brute.shingle_set(t)) for t in texts]
+    assert sets[0] == sets[1] and sets[2] == sets[5] and sets[0] < sets[6]
+
+
+# 6
+
+
+def test_secret_spans(spark, odd):
+    r = random.Random(3)
+    parts = ["token", "Token=", " = ", ":", '"', "'", "a1b2c3d4", "AKIA", "ABCDEF0123456789", "deadbeef" * 4, " ", "é", ".", "api_key", "APIKEY", "x", "=", "passwd", "SECRET "]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in secrets.secret_report(docs).collect():
+        want = brute.secrets(texts[row.doc_id])
+        kinds = Counter(k for k, _, _ in want)
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(kinds[k] for k in secrets.KINDS)
+        assert row.base_sha256 == brute.sha(want)
+        assert set(filter(None, brute.listed(want).split(","))) <= set(row.spans.split(","))
+    assert secrets.secret_report(odd).count() == odd.count()
+
+
+def test_automata_tell_formats_from_words():
+    model = secrets.scorer()
+    fresh = secrets.labelled_tokens(200, seed=99)
+    for name, found in fresh.items():
+        hits = sum(model.best(t)[0] >= model.margin for t in found) / len(found)
+        assert hits <= 0.01 if name == "plain" else hits >= 0.98
+
+
+def test_inference_merges_equal_states():
+    a = automata.infer([list("ab" * n) for n in (1, 1, 2, 2, 3, 3, 4)] * 20)
+    assert len(a.moves) <= 4
+    assert a.log_likelihood(list("abab")) > a.log_likelihood(list("abba"))
+
+
+# 7
+
+
+def test_shards(odd):
+    got = sharding.feistel_shards(odd, 4, bucket_rows=3).collect()
+    want = Counter((r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in odd.collect())
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == want
+    counts = Counter(r.shard for r in got)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    for s in counts:
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(counts[s]))
+    n = len(got)
+    for r in got:
+        assert sharding.locate(r.row_number, n, 4) == (r.shard, r.slot)
+        assert sharding.row_at(r.shard, r.slot, n, 4) == r.row_number
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
+def test_feistel_is_a_permutation(n):
+    f = sharding.Feistel(n, 5)
+    p = f.permute(np.arange(n))
+    assert sorted(p.tolist()) == list(range(n)) and f.invert(p).tolist() == list(range(n))
+
+
+# 9
+
+
+def plain_counts(text):
+    text = text or ""
+    words = brute.WORD.findall(text)
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    count = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if count[g] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if brute.WORD.search(x)]
+    return len(words), sum(map(len, words)), sum(c in quality.SYMBOLS for c in text), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_counts(spark, odd):
+    r = random.Random(2)
+    texts = ["".join(r.choice(["a ", "b ", "c\n", "#", "é ", "\t", "\n"]) for _ in range(r.randint(0, 40))) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    for row in quality.quality_report(docs).collect():
+        q = row.quality
+        assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words) == plain_counts(texts[row.doc_id])
+    got = quality.quality_report(odd).collect()
+    assert len(got) == odd.count()
+    assert all(not r.quality.kept for r in got if r.quality.base_failed)
+    assert {r.doc_id for r in got if r.quality.kept} >= {1, 2, 12}
+
+
+def test_sketches_merge(small):
+    counted = quality.with_features(small)
+    whole = quality.merge(quality.sketch(counted), "lang")
+    halves = quality.sketch(counted.filter("doc_id % 2 = 0")).unionByName(quality.sketch(counted.filter("doc_id % 2 = 1")))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, quality.merge(halves, "lang").collect()))
+
+
+# 10
+
+
+def test_substituted_passages_are_found(spark):
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    item = [r.choice(words) for _ in range(40)]
+    lead = [r.choice(words) for _ in range(200)]
+    copy = list(item)
+    copy[9] = copy[27] = "swapped"
+    docs = spark.createDataFrame(
+        [(1, " ".join(lead + item + lead)), (2, " ".join(lead + copy)), (3, " ".join(lead)), (4, " ".join(x.upper() + "," for x in item)), (5, None), (6, ""), (7, "short item of six words here"), (1, " ".join(lead + item + lead))],
+        "doc_id long, text string",
+    )
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, None), (3, "too short"), (4, "short item of six words here")], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {(1, 1), (2, 1), (4, 1), (7, 4)}
+    assert sorted(x.doc_id for x in decontaminate.clean_documents(docs, bench).collect()) == [3, 5, 6]
+
+
+# all stages
+
+
+def test_pipeline_against_a_plain_version(spark, small):
+    import corpus_pipeline
+
+    docs = small
+    kept = {r.doc_id for r in quality.quality_report(small).filter("quality.kept").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DATA)
+        assert out.columns == small.columns
+        before = sorted((r.doc_id, r.text) for r in docs.collect())
+        after = sorted((r.doc_id, r.text) for r in out.collect())
+        if name == "quality_rules":
+            assert after == [x for x in before if x[0] in kept]
+        elif name == "ngram_jaccard_join":
+            smallest = {k[2] for k in components_of(before)}
+            assert [d for d, _ in after] == sorted(smallest)
+        elif name == "benchmark_decontamination":
+            bad = {r.doc_id for r in decontaminate.contaminated(docs, spark.read.parquet(f"{DATA}/benchmark.parquet")).collect()}
+            assert after == [x for x in before if x[0] not in bad]
+        else:
+            copies = {r.doc_id: r.copies for r in mixing.taken(docs).collect()}
+            assert after == sorted(x for x in before for _ in range(copies[x[0]]))
+        docs = spark.createDataFrame(out.collect(), small.schema)
+    got = sorted(tuple(r) for r in corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect())
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    assert got == plain_digests(rows, tokens.PieceEncoder(tokenizer_path()))
+    assert got == sorted(tuple(r) for r in corpus_pipeline.run(spark, DATA).collect())
