@@ -91,7 +91,10 @@ def _ratio(q: str, name: str) -> Column:
 
 
 def sketch(df: DataFrame, q: str = "quality") -> DataFrame:
-    """(lang, source, ratio, bucket, n): the quantile sketches of all rows that pass the base rule."""
+    """(lang, source, ratio, bucket, n): the quantile sketches of all rows that pass the base rule.
+
+    df should be a written table: a filter moved below the counts would compute them again and again.
+    """
     ratios = F.explode(F.array(*[F.struct(F.lit(r).alias("ratio"), _ratio(q, r).alias("bucket")) for r in RATIOS]))
     return df.filter(~_base_failed(q)).select("lang", "source", ratios.alias("r")).groupBy("lang", "source", "r.ratio", "r.bucket").agg(F.count("*").alias("n"))
 

@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.llm import automata, boosting, decontaminate, language, mixing, ngram_join, pii, quality, secrets, sharding, shingles, store, tokens
+from sparkloom.llm.common import written
 from sparkloom.llm.components import connected_components
 
 DATA = "/root/testdata/sf0.001"
@@ -416,7 +417,7 @@ def test_quality_counts(spark, odd):
 
 
 def test_sketches_merge(small):
-    counted = quality.with_features(small)
+    counted = written(quality.with_features(small), "counted")
     whole = quality.merge(quality.sketch(counted), "lang")
     halves = quality.sketch(counted.filter("doc_id % 2 = 0")).unionByName(quality.sketch(counted.filter("doc_id % 2 = 1")))
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, quality.merge(halves, "lang").collect()))
