@@ -16,6 +16,7 @@ to order.  So common passages come last in all of them.
      of different components are paired if their sizes allow it and their 512-bit parity
      sketches do not rule it out (the distance of two sketches is at most the number of
      tokens that the sets do not share).  Tokens with many classes are split in blocks.
+     What is left is tested with wider sketches, which grow with the sets.
   4. Every candidate must share prefix tokens under the other orders, too; what passes is
      verified on the whole sets.
   5. Components over all links found.
@@ -47,6 +48,7 @@ from .shingles import U64, mix, shingle_sets
 K, PERCENT = 5, 80
 SKETCH_BITS, SKETCH_SLICES = 20, 64
 PARITY_BITS = 512
+MAX_WIDE_BITS = 15
 #: Classes of one token that are paired in one block.
 BLOCK = 512
 ORDERS = (U64(0x51ED270B7F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9))
@@ -64,12 +66,25 @@ def class_id(values: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def parity_sketch(values: np.ndarray) -> bytes:
+def parity_sketch(values: np.ndarray, bits: int) -> bytes:
     """A bit per hash cell: the parity of the number of the set's tokens in it."""
-    cells = np.bincount((mix(values + U64(77)) >> U64(55)).astype(np.int64), minlength=PARITY_BITS)
+    cells = np.bincount((mix(values + U64(77)) & U64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((cells & 1).astype(np.uint8)).tobytes()
 
 
+def wide_bits(n: int) -> int:
+    """Bits of the wide sketch of a set: enough that its cells stay sparse, if the set is not huge."""
+    return 1 << min(max((4 * n - 1).bit_length(), 9), MAX_WIDE_BITS)
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """A lower bound on the number of tokens that are in one set only; the wider sketch is folded."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    if len(b) > len(a):
+        b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def token_prefix(values: np.ndarray, ranks: np.ndarray, order: int, percent: int) -> np.ndarray:
     """The set's first tokens under one of the global orders."""
     p = prefix_length(len(values), percent)
@@ -148,7 +163,7 @@ def _prefixes(docs: DataFrame, ranks, k: int, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, signatures: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """(class, n, tokens, parity) of the stated classes, from one document of each."""
+    """(class, n, tokens, parity, wide) of the stated classes, from one document of each."""
     one = signatures.filter("class is not null").join(classes, "class", "left_semi").groupBy("class").agg(F.min("rid").alias("rid"))
     one = written(one.select("rid").distinct(), "ngram-reps")
     wanted = _keyed(docs).join(maybe_broadcast(one, one.count(), 16), "rid", "left_semi")
@@ -158,40 +173,58 @@ def _sets(docs: DataFrame, signatures: DataFrame, classes: DataFrame, k: int) ->
             for _, values, offsets in shingle_sets(batch.column(0), k):
                 rows = [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([class_id(x) for x in rows], pa.int64()), pa.array([len(x) for x in rows], pa.int32()), pa.array([x.tobytes() for x in rows], pa.binary()), pa.array([parity_sketch(x) for x in rows], pa.binary())],
-                    ["class", "n", "tokens", "parity"],
+                    [pa.array([class_id(x) for x in rows], pa.int64()), pa.array([len(x) for x in rows], pa.int32()), pa.array([x.tobytes() for x in rows], pa.binary()), pa.array([parity_sketch(x, PARITY_BITS) for x in rows], pa.binary()), pa.array([parity_sketch(x, wide_bits(len(x))) for x in rows], pa.binary())],
+                    ["class", "n", "tokens", "parity", "wide"],
                 )
 
     # Equal rows of a representative give equal sets; only one of each class may stay.
-    found = written(wanted.select("text").mapInArrow(run, "class long, n int, tokens binary, parity binary"), "ngram-sets", "uncompressed")
+    found = written(wanted.select("text").mapInArrow(run, "class long, n int, tokens binary, parity binary, wide binary"), "ngram-sets", "uncompressed")
     again = found.groupBy("class").agg(F.count("*").alias("c")).filter("c > 1").limit(1).count()
     return written(found.dropDuplicates(["class"]), "ngram-sets", "uncompressed") if again else found
 
 
-def _verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, ranks, percent: int) -> DataFrame:
-    """Of the candidate pairs (a, b), those that are linked."""
+def _tested(pairs: DataFrame, n_pairs: int, sets: DataFrame, column: str, test) -> DataFrame:
+    """The pairs (a, b) for which test(value of one, value of the other) holds."""
     asked = pairs.select(F.col("a").alias("class"), "a", "b").unionByName(pairs.select(F.col("b").alias("class"), "a", "b"))
-    both = sets.select("class", "tokens").join(maybe_broadcast(asked, 2 * n_pairs, 40), "class").select("a", "b", "tokens")
+    both = sets.select("class", "n", column).join(maybe_broadcast(asked, 2 * n_pairs, 40), "class").select("a", "b", "n", column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             left, right = [], []
-            for a, b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                x = np.frombuffer(raw, dtype=np.uint64)
+            for a, b, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 if held is None or held[:2] != (a, b):
-                    held = (a, b, x)
+                    held = (a, b, n, raw)
                     continue
-                y, held = held[2], None
-                if all(len(np.intersect1d(token_prefix(x, ranks.value, o, percent), token_prefix(y, ranks.value, o, percent), True)) for o in range(1, len(ORDERS))):
-                    if linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent):
-                        left.append(a)
-                        right.append(b)
+                other, held = held, None
+                if test(n, raw, other[2], other[3]):
+                    left.append(a)
+                    right.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     return both.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(run, "a long, b long")
 
 
+def _verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, ranks, percent: int) -> DataFrame:
+    """Of the candidate pairs (a, b), those that are linked.
+
+    Wide sketches, a fraction of the sets' size, rule out most pairs before whole sets move.
+    """
+
+    def near(n: int, x: bytes, m: int, y: bytes) -> bool:
+        return (100 + percent) * sketch_distance(x, y) <= (100 - percent) * (n + m)
+
+    def equal_enough(n: int, x: bytes, m: int, y: bytes) -> bool:
+        x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+        for order in range(1, len(ORDERS)):
+            if not len(np.intersect1d(token_prefix(x, ranks.value, order, percent), token_prefix(y, ranks.value, order, percent), True)):
+                return False
+        return linked(len(np.intersect1d(x, y, assume_unique=True)), n, m, percent)
+
+    close = written(_tested(pairs, n_pairs, sets, "wide", near), "ngram-close")
+    return _tested(close, close.count(), sets, "tokens", equal_enough)
+
+
 def _paired(percent: int):
     """A function over rows (token, lo, hi, own, class, comp, n, parity), sorted by the first three, that makes candidate pairs."""
 
