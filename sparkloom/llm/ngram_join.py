@@ -41,12 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, written
+from .common import BROADCAST_BYTES, maybe_broadcast, written
 from .components import connected_components
 from .shingles import U64, mix, shingle_sets
 
 K, PERCENT = 5, 80
-SKETCH_BITS, SKETCH_SLICES = 20, 64
+#: The sketch travels in slices of 4 KB, so that a batch of 10,000 of them stays small.
+SKETCH_BITS, SKETCH_SLICES = 21, 2048
 PARITY_BITS = 512
 MAX_WIDE_BITS = 15
 #: Classes of one token that are paired in one block.
@@ -251,7 +252,10 @@ def _paired(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(t: pa.Table) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in pairs_of(t)], ["a", "b"])
+            a, b = pairs_of(t)
+            heads = np.flatnonzero(np.diff(a, prepend=a[:1] - 1))
+            partners = pa.ListArray.from_arrays(pa.array(np.append(heads, len(b)).astype(np.int32)), pa.array(b))
+            return pa.RecordBatch.from_arrays([pa.array(a[heads]), partners], ["a", "partners"])
 
         held: list[pa.RecordBatch] = []
         rows = 0
@@ -271,13 +275,38 @@ def _paired(percent: int):
     return run
 
 
+def _candidates(shared: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes of different components that share a token and that sizes and sketches allow."""
+    first = written(connected_components(links).select(F.col("node").alias("class"), "root"), "ngram-roots")
+    own = shared.select("token", "class", "n").join(maybe_broadcast(first, first.count(), 32), "class", "left").withColumn("comp", F.coalesce("root", "class"))
+    by_token = Window.partitionBy("token")
+    mixed = own.withColumns({"low": F.min("comp").over(by_token), "high": F.max("comp").over(by_token), "rows": F.count("*").over(by_token)})
+    mixed = mixed.filter("low != high").select("token", "class", "n", "comp", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+    n_sets, row_bytes = sets.count(), 32 + PARITY_BITS // 8
+    parity = maybe_broadcast(sets.select("class", "parity"), n_sets, row_bytes)
+    columns = ["token", "lo", "hi", "own", "class", "comp", "n", "parity"]
+    zero = F.lit(0)
+    few = mixed.filter("blocks = 1").select("token", zero.alias("lo"), zero.alias("hi"), zero.alias("own"), "class", "comp", "n").join(parity, "class").select(columns)
+    if n_sets * row_bytes > BROADCAST_BYTES:  # the join has dealt the rows out by class
+        few = few.repartition("token")
+    # Otherwise they still lie as the window dealt them: all rows of a token in one partition.
+    many = mixed.filter("blocks > 1").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(parity, "class")
+    many = many.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).select(columns).repartition("token", "lo", "hi")
+    schema = "a long, partners array<long>"
+    found = few.sortWithinPartitions("token").mapInArrow(_paired(percent), schema).unionByName(many.sortWithinPartitions("token", "lo", "hi").mapInArrow(_paired(percent), schema))
+    # A pair that shares many tokens comes from many tasks: partners are merged before they become rows.
+    merged = found.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
+    return merged.select("a", F.explode("partners").alias("b"))
+
+
 def class_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(signatures: rid, doc_id, n, class; components: node, root over the classes that have a link)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     all_rows = written(_signatures(docs, k), "ngram-signatures")
     signatures = all_rows.filter("slice is null").select("rid", "doc_id", "n", "class")
-    ranks = spark.sparkContext.broadcast(_token_ranks(all_rows))  # 2^20 bytes, whatever the corpus
+    ranks = spark.sparkContext.broadcast(_token_ranks(all_rows))  # 2^SKETCH_BITS bytes, whatever the corpus
     of_token = Window.partitionBy("token").orderBy("class").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     shared = _prefixes(docs, ranks, k, percent).withColumns(
         {"leader": F.first("class").over(of_token), "leader_n": F.first("n").over(of_token), "last": F.last("class").over(of_token)}
@@ -287,16 +316,7 @@ def class_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tup
     fits = 100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")
     star = written(shared.filter((F.col("class") != F.col("leader")) & fits).select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct(), "ngram-stars")
     links = written(_verified(star, star.count(), sets, ranks, percent), "ngram-links")
-    first = connected_components(links).select(F.col("node").alias("class"), "root")
-    own = shared.select("token", "class", "n").distinct().join(first, "class", "left").withColumn("comp", F.coalesce("root", "class"))
-    by_token = Window.partitionBy("token")
-    mixed = own.withColumns({"low": F.min("comp").over(by_token), "high": F.max("comp").over(by_token), "rows": F.count("*").over(by_token)})
-    mixed = mixed.filter("low != high").select("token", "class", "n", "comp", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-    mixed = mixed.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    mixed = mixed.join(sets.select("class", "parity"), "class").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    mixed = mixed.select("token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "comp", "n", "parity")
-    rest = mixed.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi").mapInArrow(_paired(percent), "a long, b long")
-    rest = written(rest.distinct(), "ngram-rest")
+    rest = written(_candidates(shared, links, sets, percent), "ngram-rest")
     links = links.unionByName(_verified(rest, rest.count(), sets, ranks, percent))
     return signatures, connected_components(written(links, "ngram-links"))
 
