@@ -131,7 +131,7 @@ def distinct_per_text(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
     return np.concatenate(parts) if parts else values[:0], kept
 
 
-def shingle_sets(column: pa.Array, k: int, step_bytes: int = 1 << 22):
+def shingle_sets(column: pa.Array, k: int, step_bytes: int = 1 << 20):
     """(first row, values, offsets) for slices of a text column: the sorted distinct k-word shingles of every text."""
     n, begin = len(column), 0
     lengths = pa.compute.binary_length(column.cast(pa.large_string())).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) if n else np.zeros(0, np.int64)
