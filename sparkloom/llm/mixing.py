@@ -7,9 +7,12 @@ the level found from prefix sums over the sources ordered by cap / weight.
 
 Every row has a reproducible 63-bit key, and the top bits of the key cut a source into
 permuted, disjoint blocks of rows.  A source's target is so many whole epochs (all its
-blocks) and a rest; the rest is a run of blocks in key order, the last one cut inside,
-found digit by digit from sums over blocks, sub-blocks and at last single rows.  No step
-sorts a source: each level sees one block of the level above.
+blocks) and a rest.  The rest goes through the rows in key order and takes every row that
+fits what is left, until nothing that is left out fits.  That is a few runs of rows: each
+run ends before the first row that would pass the target, and the next one goes on behind
+it among the rows that still fit.  The end of a run is found digit by digit from sums over
+blocks, sub-blocks and at last single rows.  No step sorts a source: each level sees one
+block of the level above.
 
 The blocks drawn are exact quotas, one number per source.  A binary tree splits the
 output shards in halves down to single shards; each node gives its left half a
@@ -37,8 +40,6 @@ SHARE = 1.5
 MOST = 2
 SEED = 20240
 MAX_BITS, SUB_BITS, BLOCK_ROWS = 12, 12, 4
-#: Later rows that may fill the gap before a source's cut.
-FILLERS = 4
 _P = "__mix_"
 
 
@@ -91,6 +92,32 @@ def _cut(rows: DataFrame, plan: DataFrame, digit: Column, more: list[str]) -> Da
     return plan.join(ends, "sid").select("sid", "bits", (F.col("rest") - F.col("before")).alias("rest"), *more, "digit")
 
 
+_ADDED = "concat(runs, array(struct(after, upto, most, take, whole)))"
+
+
+def _run(keyed: DataFrame, left: DataFrame, later: bool) -> DataFrame:
+    """(sid, upto, take, whole, gap): the next run of rows that fit, for each source of `left` that has one.
+
+    Of the rows at its last key the first `take` are taken, of those before it all.
+    """
+    block, sub = F.expr("shiftright(key, 63 - bits)"), F.expr(f"shiftright(key, {63 - SUB_BITS} - bits) & {(1 << SUB_BITS) - 1}")
+    fits = keyed
+    if later:
+        fits = fits.join(left.select("sid", "after", "most"), "sid").filter("key > after AND size > 0 AND size <= most").select("sid", "bits", "size", "key")
+    first = _cut(fits, left, block, []).withColumnRenamed("digit", "block")
+    inside = fits.withColumn("block", block).join(first.select("sid", "block"), ["sid", "block"]).select("sid", "bits", "size", "key")
+    second = _cut(inside, first, sub, ["block"]).withColumnRenamed("digit", "sub")
+    last = inside.withColumn("sub", sub).join(second.select("sid", "sub", "rest"), ["sid", "sub"])
+    # What remains is one block in 2^24 of a source; equal rows travel as one with their count.
+    last = last.groupBy("sid", "key", "rest").agg(F.max("size").alias("size"), F.count("*").alias("n"))
+    upto = Window.partitionBy("sid").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("n")).over(upto), F.lit(0))).filter(F.col("before") < F.col("rest"))
+    take = F.least(F.col("n"), F.coalesce(F.floor(F.try_divide(F.col("rest") - F.col("before"), F.col("size"))), F.col("n"))).cast("long")
+    gap = F.col("rest") - F.col("before") - take * F.col("size")
+    last = last.groupBy("sid").agg(F.max(F.struct("key", take.alias("take"), "n", gap.alias("gap"))).alias("c"))
+    return last.select("sid", F.col("c.key").alias("upto"), F.col("c.take").alias("take"), (F.col("c.take") == F.col("c.n")).alias("whole"), F.col("c.gap").alias("gap"))
+
+
 def mixing_plan(rows: DataFrame, shards: int = 16, seed: int = SEED, share: float = SHARE, most: int = MOST) -> DataFrame:
     """One row per source: sizes, target, whole epochs, and where the rest is cut; rows are `sized`."""
     narrow = rows.select("source", F.col(f"{_P}size").alias("size"), F.col(f"{_P}key").alias("key"))
@@ -102,32 +129,23 @@ def mixing_plan(rows: DataFrame, shards: int = 16, seed: int = SEED, share: floa
     plan = written(plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-sources")
     small = plan.select("sid", "bits", F.col("source").alias("p_source"))
     keyed = narrow.join(small, F.col("source").eqNullSafe(F.col("p_source"))).select("sid", "bits", "size", "key")
-    block, sub = F.expr("shiftright(key, 63 - bits)"), F.expr(f"shiftright(key, {63 - SUB_BITS} - bits) & {(1 << SUB_BITS) - 1}")
-    first = _cut(keyed, plan, block, []).withColumnRenamed("digit", "block")
-    inside = keyed.withColumn("block", block).join(first.select("sid", "block"), ["sid", "block"]).select("sid", "bits", "size", "key")
-    second = _cut(inside, first, sub, ["block"]).withColumnRenamed("digit", "sub")
-    last = inside.withColumn("sub", sub).join(second.select("sid", "sub", "rest"), ["sid", "sub"])
-    # What remains is one block in 2^24 of a source; equal rows travel as one with their count.
-    last = last.groupBy("sid", "key", "rest").agg(F.max("size").alias("size"), F.count("*").alias("n"))
-    upto = Window.partitionBy("sid").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    last = last.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("n")).over(upto), F.lit(0))).filter(F.col("before") < F.col("rest"))
-    take = F.least(F.col("n"), F.coalesce(F.floor(F.try_divide(F.col("rest") - F.col("before"), F.col("size"))), F.col("n"))).cast("long")
-    gap = F.col("rest") - F.col("before") - take * F.col("size")
-    last = last.groupBy("sid").agg(F.max(F.struct("key", take.alias("take"), "n", gap.alias("gap"))).alias("c"))
-    last = last.select("sid", F.col("c.key").alias("cut_key"), F.col("c.take").alias("cut_take"), (F.col("c.take") == F.col("c.n")).alias("cut_whole"), F.col("c.gap").alias("gap"))
-    last = last.withColumn("fill_keys", F.array().cast("array<long>"))
-    # The row at the cut may be long: the largest later rows that fit fill what it would have.
-    for _ in range(FILLERS):
-        last = written(last, "mix-cuts")
-        fits = keyed.join(last.select("sid", "cut_key", "gap", "fill_keys"), "sid")
-        fits = fits.filter((F.col("key") > F.col("cut_key")) & (F.col("size") <= F.col("gap")) & (F.col("size") > 0) & ~F.array_contains("fill_keys", F.col("key")))
-        fits = fits.groupBy("sid").agg(F.max(F.struct("size", "key")).alias("f"))
-        filled = F.concat("fill_keys", F.when(F.col("f").isNull(), F.array().cast("array<long>")).otherwise(F.array("f.key")))
-        gap = F.col("gap") - F.coalesce(F.col("f.size"), F.lit(0))
-        last = last.join(fits, "sid", "left").select("sid", "cut_key", "cut_take", "cut_whole", gap.alias("gap"), filled.alias("fill_keys"))
-    plan = plan.join(first.select("sid", "block"), "sid", "left").join(last.drop("gap"), "sid", "left")
-    drawn = F.expr("epochs * shiftleft(1L, bits) + coalesce(block + 1, 0L)").alias("drawn")
-    names = ["source", "source_size", "rows", "weight", "target", "epochs", "bits", "cut_key", "cut_take", "cut_whole", "fill_keys"]
+    none = "array<struct<after: bigint, upto: bigint, most: bigint, take: bigint, whole: boolean>>"
+    left = plan.select("sid", "bits", "rest", F.lit(-1).cast("long").alias("after"), F.lit((1 << 63) - 1).alias("most"), F.array().cast(none).alias("runs"))
+    ended = left.filter("rest <= 0").select("sid", "runs", F.col("rest").alias("gap"))
+    left, n = written(left.filter("rest > 0"), "mix-cuts"), 0
+    # Every run but a source's last ends at a row longer than the gap, so the rows that fit get shorter and fewer.
+    while not left.isEmpty():
+        run = written(left.join(_run(keyed, left, n > 0), "sid", "left"), "mix-cuts")
+        ended = ended.unionByName(run.filter("upto IS NULL OR gap <= 0").select("sid", F.expr(f"if(upto IS NULL, runs, {_ADDED}) AS runs"), F.expr("if(upto IS NULL, rest, gap) AS gap")))
+        left = run.filter("upto IS NOT NULL AND gap > 0")
+        left = left.select("sid", "bits", F.col("gap").alias("rest"), F.col("upto").alias("after"), F.expr("cast(floor(gap) AS bigint) AS most"), F.expr(f"{_ADDED} AS runs"))
+        n += 1
+    plan = plan.join(ended, "sid")
+    # The rest counts as so many blocks as its words are worth.
+    worth = F.ceil(F.try_divide((F.col("rest") - F.col("gap")) * F.expr("shiftleft(1L, bits)"), F.col("source_size")))
+    plan = plan.withColumn("rest_blocks", F.when(F.size("runs") > 0, F.greatest(F.lit(1), worth)).otherwise(0).cast("long"))
+    drawn = F.expr("epochs * shiftleft(1L, bits) + rest_blocks").alias("drawn")
+    names = ["source", "source_size", "rows", "weight", "target", "epochs", "bits", "runs", "rest_blocks"]
     plan = written(plan.select("sid", *names, drawn), "mix-cuts")
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -144,15 +162,14 @@ def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """The sized rows with __mix_copies and, as __mix_plan, their source's plan."""
     p = plan.select(F.col("source").alias(f"{_P}source"), F.struct(*[c for c in plan.columns if c != "source"]).alias(f"{_P}plan"))
     joined = rows.join(p, F.col("source").eqNullSafe(F.col(f"{_P}source"))).drop(f"{_P}source")
-    key, cut = F.col(f"{_P}key"), F.col(f"{_P}plan.cut_key")
-    filler = F.coalesce(F.array_contains(f"{_P}plan.fill_keys", key), F.lit(False))
-    alone = filler | F.coalesce((key == cut) & ~F.col(f"{_P}plan.cut_whole"), F.lit(False))
-    rest = F.coalesce(key <= cut, F.lit(False)).cast("int")
-    clear = joined.filter(~alone).withColumn(f"{_P}copies", F.col(f"{_P}plan.epochs") + rest)
-    # The row at which a source is cut and those that fill the gap, each with the rows equal to it.
+    run = F.expr(f"get(filter({_P}plan.runs, r -> {_P}key > r.after AND {_P}key <= r.upto AND {_P}size <= r.most), 0)")
+    joined = joined.withColumn(f"{_P}run", run)
+    alone = F.coalesce((F.col(f"{_P}key") == F.col(f"{_P}run.upto")) & ~F.col(f"{_P}run.whole"), F.lit(False))
+    rest = F.col(f"{_P}run").isNotNull().cast("int")
+    clear = joined.filter(~alone).withColumn(f"{_P}copies", F.col(f"{_P}plan.epochs") + rest).drop(f"{_P}run")
+    # The row at which a run ends, with the rows equal to it.
     tie = F.row_number().over(Window.partitionBy("source", f"{_P}key").orderBy("doc_id"))
-    most = F.when(filler, F.lit(1)).otherwise(F.col(f"{_P}plan.cut_take"))
-    among = joined.filter(alone).withColumn(f"{_P}copies", F.col(f"{_P}plan.epochs") + (tie <= most).cast("int"))
+    among = joined.filter(alone).withColumn(f"{_P}copies", F.col(f"{_P}plan.epochs") + (tie <= F.col(f"{_P}run.take")).cast("int")).drop(f"{_P}run")
     return clear.unionByName(among)
 
 
@@ -173,14 +190,13 @@ def mix(docs: DataFrame, shards: int = 16, seed: int = SEED, **options) -> DataF
     plan = mixing_plan(written(sized(docs, seed).select("source", f"{_P}size", f"{_P}key"), "mix-sizes"), shards, seed, **options)
     drawn = with_copies(sized(docs, seed), plan).filter(F.col(f"{_P}copies") > 0)
     drawn = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(f"{_P}copies") - 1)))
-    # Whole epochs permute their blocks by an odd multiplier; the rest keeps key order.
+    # Whole epochs permute their blocks by an odd multiplier; the rest keeps key order, and its rows
+    # in later blocks than its words are worth go to the earlier ones in turn.
     index = F.expr(f"""CASE WHEN copy < {_P}plan.epochs
         THEN copy * shiftleft(1L, {_P}plan.bits) + ((shiftright({_P}key, 63 - {_P}plan.bits) * (2 * copy + 5) + {seed}) & (shiftleft(1L, {_P}plan.bits) - 1))
-        ELSE {_P}plan.epochs * shiftleft(1L, {_P}plan.bits) + shiftright({_P}key, 63 - {_P}plan.bits) END""")
+        ELSE {_P}plan.epochs * shiftleft(1L, {_P}plan.bits) + shiftright({_P}key, 63 - {_P}plan.bits) % {_P}plan.rest_blocks END""")
     drawn = drawn.withColumn(f"{_P}index", index)
-    # A row that fills the gap goes where its source's last block went.
-    last = F.least(F.col(f"{_P}index"), F.col(f"{_P}plan.drawn") - 1)
-    shard = F.size(F.filter(f"{_P}plan.shard_ends", lambda end: end <= last))
+    shard = F.size(F.filter(f"{_P}plan.shard_ends", lambda end: end <= F.col(f"{_P}index")))
     return drawn.select(*docs.columns, shard.alias("shard"), F.xxhash64(F.lit(seed + 1), f"{_P}key", "copy").alias("slot_key"), "copy")
 
 

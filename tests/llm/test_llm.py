@@ -117,6 +117,21 @@ def test_mixing_meets_its_targets(small, odd):
     assert sorted(map(str, mixing.taken(small).collect())) == sorted(map(str, mixing.taken(small.repartition(5)).collect()))
 
 
+def test_mixing_goes_on_behind_a_long_row(spark):
+    rows = [(i, "w " * 100, "en", "a", 0) for i in range(1000)] + [(1000 + i, "v " * 100_000, "en", "a", 0) for i in range(4)]
+    rows += [(2000 + i, "u " * (1 + 37 * i % 901), "en", "b", 0) for i in range(300)] + [(3000, "t " * 9000, "en", "b", 0), (3000, "t " * 9000, "en", "b", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for share in (0.3, 0.7, 1.1):
+        got = mixing.taken(docs, share=share).collect()
+        for source in ("a", "b"):
+            mine = [r for r in got if r.source == source]
+            gap = mine[0].target - sum(r.taken for r in mine)
+            epochs = int(mine[0].target // mine[0].source_size)
+            left = [r.size for r in mine if r.copies == epochs]
+            assert len(mine) == sum(r[3] == source for r in rows) and {r.copies for r in mine} <= {epochs, epochs + 1}
+            assert 0 <= gap < min(left)
+
+
 def test_mix_rows_agree_with_the_report(small):
     copies = {r.doc_id: r.copies for r in mixing.taken(small).collect()}
     rows = mixing.mix(small).collect()
