@@ -13,8 +13,11 @@ against a bitmap of the benchmark's hashes (its size follows the benchmark, up t
 a fuller bitmap only lets more windows through).  Windows that pass leave the text with a
 slice of words around them, and only those rows are joined.
 
-Items shorter than the masks' span get contiguous seeds of their own length; items under
-`MIN_ITEM` words say too little and match nothing.
+The masks leave no accepted passage out that is aligned with an item of up to 25 words:
+however the replaced words lie, some window of the item has all its kept words.  That was
+found by enumerating all patterns, with shorter masks for items under `SPAN` words.  Among
+longer items a pattern of scattered words may have no such window, the rarer the more of
+its words are equal.  Items under `MIN_ITEM` words say too little and match nothing.
 
 Edge cases: null or empty texts on either side match nothing; rows that repeat a doc_id
 are reported once per item, and filtered row by row; items that repeat an item_id are
@@ -23,13 +26,16 @@ compared one by one; empty tables give an empty report; other columns are carrie
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import maybe_broadcast, text_or_empty, written
 
-#: Kept positions of the spaced seeds: span 12, weight 8.
-MASKS = ("111011001011", "110100110111")
+#: Kept positions of the spaced seeds, for items of SPAN words or more and for shorter ones.
+MASKS = ("11101", "1101001", "11000101", "1000100101", "10000001101")
+SHORT_MASKS = ("111", "1101")
 SPAN = 12
 MIN_ITEM = 5
 #: Words compared on either side of a hit's window.
@@ -59,7 +65,7 @@ def _seeds(items: DataFrame, masks: list[str]) -> DataFrame:
     hashed = items.withColumn("h", F.expr("transform(words, w -> xxhash64(w))"))
     out = None
     for m, mask in enumerate(masks):
-        of_length = F.size("words") >= SPAN if len(mask) == SPAN else F.size("words") == len(mask)
+        of_length = F.size("words") >= SPAN if mask in MASKS else F.size("words") < SPAN
         last = F.size("h") - len(mask)
         one = hashed.filter(of_length).select("key", "h", F.explode(F.sequence(F.lit(0), last)).alias("p"))
         one = one.select(F.lit(m).alias("mask"), F.expr(_hash("h", "p", mask)).alias("seed"), "key", "p")
@@ -67,34 +73,42 @@ def _seeds(items: DataFrame, masks: list[str]) -> DataFrame:
     return out
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, enough: int = ENOUGH, share_percent: int = SHARE_PERCENT) -> DataFrame:
-    """(rid, doc_id, item_id, key, item_words, matched): hits with enough equal words; rid is a hash of doc_id and text."""
-    items = written(_items(benchmark), "benchmark-items")
-    lengths = [r[0] for r in items.filter(F.size("words") < SPAN).select(F.size("words")).distinct().collect()]  # at most SPAN values
-    masks = [*MASKS, *("1" * n for n in sorted(lengths))]
-    seeds = written(_seeds(items, masks), "benchmark-seeds")
-    n_items, n_seeds = items.count(), seeds.count()
+def _bitmap(seeds: DataFrame, n: int) -> Callable[[str], str]:
+    """The SQL test whether a hash may be among the n seeds; never false for one that is."""
     bits = 1 << 12
-    while bits < min(64 * n_seeds, MAX_BITMAP_BITS):
+    while bits < min(64 * n, MAX_BITMAP_BITS):
         bits *= 2
     slot = F.col("seed").bitwiseAND(F.lit(bits - 1))
-    cells = seeds.groupBy(F.shiftright(slot, 6).alias("cell")).agg(F.expr(f"bit_or(shiftleft(1L, cast(seed & 63 AS int)))").alias("bits")).collect()  # at most MAX_BITMAP_BITS / 64 rows
+    cells = seeds.groupBy(F.shiftright(slot, 6).alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(seed & 63 AS int)))").alias("bits")).collect()  # at most MAX_BITMAP_BITS / 64 rows
     filled = [0] * (bits // 64)
     for c in cells:
         filled[c.cell] = c.bits
     # A constant array, folded once; each test is a shift and a mask.
     bitmap = f"cast(split('{','.join(map(str, filled))}', ',') AS array<bigint>)"
+    return lambda s: f"(shiftright(get({bitmap}, cast(shiftright({s} & {bits - 1}, 6) AS int)), cast({s} & 63 AS int)) & 1) = 1"
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, enough: int = ENOUGH, share_percent: int = SHARE_PERCENT) -> DataFrame:
+    """(rid, doc_id, item_id, key, item_words, matched): hits with enough equal words; rid is a hash of doc_id and text."""
+    items = written(_items(benchmark), "benchmark-items")
+    masks = [*MASKS, *(() if items.filter(F.size("words") < SPAN).isEmpty() else SHORT_MASKS)]
+    seeds = written(_seeds(items, masks), "benchmark-seeds")
+    n_items, n_seeds = items.count(), seeds.count()
+    seen = _bitmap(seeds.select("seed"), n_seeds)
+    vocabulary = items.select(F.explode("words").alias("w")).select(F.xxhash64("w").alias("seed")).distinct()
+    known = _bitmap(vocabulary, vocabulary.count())("get(h, i)")
 
     def passes(mask: str) -> str:
-        return f"exists(array({_hash('h', 'i', mask)}), s -> (shiftright(get({bitmap}, cast(shiftright(s & {bits - 1}, 6) AS int)), cast(s & 63 AS int)) & 1) = 1)"
+        return f"exists(array({_hash('h', 'i', mask)}), s -> {seen('s')})"
 
     # The row number is there for the optimizer: a filter on the exploded windows may not
     # move below it, where it would compute the hashes of a whole text for every window.
     w = docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64("doc_id", "text").alias("rid"), "doc_id", _words(text_or_empty()).alias("words"))
     w = w.withColumn("h", F.expr("transform(words, w -> xxhash64(w))"))
     shortest = min(map(len, masks))
+    # All masks keep their first word: a window starts at a word of the benchmark or meets no seed.
     found = " OR ".join(f"(i <= size(h) - {len(m)} AND {passes(m)})" for m in masks)
-    w = w.withColumn("at", F.expr(f"CASE WHEN size(h) < {shortest} THEN cast(array() AS array<int>) ELSE filter(sequence(0, size(h) - {shortest}), i -> {found}) END"))
+    w = w.withColumn("at", F.expr(f"CASE WHEN size(h) < {shortest} THEN cast(array() AS array<int>) ELSE filter(sequence(0, size(h) - {shortest}), i -> {known} AND ({found})) END"))
     # A slice of at most SPAN + 2 REACH words leaves the text with each window.
     w = w.select("row", "rid", "doc_id", F.explode(F.expr(f"""transform(at, i -> struct(i,
         least(i, {REACH}) AS lead, slice(words, greatest(i - {REACH}, 0) + 1, {SPAN + REACH} + least(i, {REACH})) AS near,
@@ -123,7 +137,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFra
     return keyed.join(maybe_broadcast(lost, lost.count(), 16), "__clean_rid", "left_anti").select(*docs.columns)
 
 
-#: The same in DuckDB's SQL, over the tables documents and benchmark (items of SPAN words or more).
+#: The same with fewer seeds in DuckDB's SQL, over the tables documents and benchmark: its rows are among the operator's.
 DECONTAMINATE_SQL = r"""
 WITH m AS (SELECT * FROM (VALUES (0, [0, 1, 2, 4, 5, 8, 10, 11]), (1, [0, 1, 3, 6, 7, 9, 10, 11])) AS v(mask, kept)),
 b AS (SELECT item_id, words FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words FROM benchmark) WHERE len(words) >= 5),

@@ -458,6 +458,32 @@ def test_substituted_passages_are_found(spark):
     assert sorted(x.doc_id for x in decontaminate.clean_documents(docs, bench).collect()) == [3, 5, 6]
 
 
+def test_every_accepted_pattern_is_found(spark):
+    r = random.Random(8)
+    items = {n: [f"w{n}x{i}" for i in range(n)] for n in range(5, 26)}
+    rows, want = [], set()
+    for n, words in items.items():
+        least = min(decontaminate.ENOUGH, -(-decontaminate.SHARE_PERCENT * n // 100))
+        kept = [set(r.sample(range(n), k)) for k in [least] * 20 + [least - 1] * 3]
+        # Replaced words spread evenly, with every offset.
+        gone = n - least
+        kept += [{i for i in range(n) if i not in {(j * n // gone + o) % n for j in range(gone)}} for o in range(n // gone + 1)]
+        for k in kept:
+            doc_id = len(rows)
+            text = [f"f{r.randrange(10**6)}" for _ in range(r.randint(0, 30))]
+            text += [w if i in k else f"s{r.randrange(10**6)}" for i, w in enumerate(words)]
+            rows.append((doc_id, " ".join(text), "en", "a", 0))
+    for doc_id, text, *_ in rows:
+        found = text.split()
+        for n, words in items.items():
+            equal = max(sum(0 <= d + i < len(found) and found[d + i] == w for i, w in enumerate(words)) for d in range(-n, len(found)))
+            if equal >= decontaminate.ENOUGH or 100 * equal >= decontaminate.SHARE_PERCENT * n:
+                want.add((doc_id, n, equal))
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    got = decontaminate.contaminated(spark.createDataFrame(rows, SCHEMA), bench).collect()
+    assert len(want) > 400 and {(x.doc_id, x.item_id, x.matched) for x in got} == want
+
+
 # all stages
 
 
