@@ -41,8 +41,6 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+")
 EXAMPLES = 120
 #: Characters at the start of a token that the automata see as they are; later ones by class.
 RAW = 4
-#: Longer tokens are scored by their head and tail alone: no known format is as long.
-LONGEST = 512
 
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
@@ -107,8 +105,6 @@ class Scorer:
 
     def best(self, token: str) -> tuple[float, str]:
         """The largest log-likelihood ratio per character, and its format."""
-        if len(token) > LONGEST:
-            token = token[: LONGEST // 2] + token[-LONGEST // 2 :]
         s, c = symbols(token), classes(token)
         # The first characters count as they are on both sides: each is one of its class.
         plain = self.plain.log_likelihood(c) - sum(math.log(_CLASS_SIZE.get(x, 1)) for x in c[:RAW])

@@ -375,6 +375,17 @@ def test_automata_tell_formats_from_words():
         assert hits <= 0.01 if name == "plain" else hits >= 0.98
 
 
+def test_every_character_of_a_long_candidate_counts():
+    model = secrets.scorer()
+    r = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    token = "the" * 86 + "".join(r.choice(letters) for _ in range(6000)) + "tion" * 64
+    s, c = secrets.symbols(token), secrets.classes(token)
+    plain = model.plain.log_likelihood(c) - sum(math.log(secrets._CLASS_SIZE[x]) for x in c[: secrets.RAW])
+    assert model.best(token)[0] == max((a.log_likelihood(s) - plain) / len(s) for a in model.formats.values()) >= model.margin
+    assert [x[:2] for x in secrets.find_spans(f"see {token} there", model)[1]] == [(4, 4 + len(token))]
+
+
 def test_inference_merges_equal_states():
     a = automata.infer([list("ab" * n) for n in (1, 1, 2, 2, 3, 3, 4)] * 20)
     assert len(a.moves) <= 4
