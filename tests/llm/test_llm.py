@@ -449,6 +449,39 @@ def test_sketches_merge(small):
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, quality.merge(halves, "lang").collect()))
 
 
+def test_an_extreme_ratio_is_judged_as_it_is(spark):
+    r = random.Random(1)
+    words = [f"w{i}" for i in range(400)]
+    plain = lambda: " ".join(r.choice(words) for _ in range(120))
+    rows = [(i, plain() + " #" * (i % 4), "en", "s" if i % 3 else None) for i in range(200)]
+    rows += [(900, plain() + "#" * 200_000, "en", "s"), (901, "x" * 400_000 + " " + plain(), "en", "s"), (902, plain() + "###", "en", "s")]
+    got = {x.doc_id: x.quality.kept for x in quality.quality_report(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not got.pop(900) and not got.pop(901) and all(got.values())
+
+
+def test_the_sketches_set_the_fences(spark):
+    r = random.Random(2)
+    words = [f"w{i}" for i in range(400)]
+
+    def docs(marks):
+        rows = [(i, " ".join(r.choice(words) for _ in range(100)) + " #" * (marks if i % 2 else marks // 2), "en", "s") for i in range(60)]
+        return spark.createDataFrame([*rows, (99, " ".join(r.choice(words) for _ in range(100)) + " #" * 40, "en", "s")], "doc_id long, text string, lang string, source string")
+
+    verdict = lambda d: {x.doc_id: x.quality.kept for x in quality.quality_report(d).collect()}[99]
+    assert not verdict(docs(0)) and verdict(docs(20))
+    # A small group borrows from its language, a large one does not.
+    counted = written(quality.with_features(docs(20).unionByName(docs(0).withColumn("source", F.lit("t")).limit(9))), "counted")
+    high = {x.source: x.high_symbols for x in quality.fences(quality.sketch(counted)).collect()}
+    alone = {x.source: x.high_symbols for x in quality.fences(quality.sketch(counted), shrink=0).collect()}
+    assert high["t"] > alone["t"] == 0 and high["s"] >= 150
+
+
+def test_buckets_are_close_and_ordered(spark):
+    values = [*range(300), 10**6 + 7, 2**40 + 12345]
+    got = [x.b for x in spark.createDataFrame([(v,) for v in values], "v long").selectExpr(f"{quality.bucket_of('v')} AS b", "v").orderBy("v").collect()]
+    assert got == sorted(got) and all(b <= v <= b + b / 32 for v, b in zip(values, got)) and got[:64] == values[:64]
+
+
 # 10
 
 
