@@ -6,14 +6,17 @@ written-out and spaced e-mail addresses, IPv6 addresses, cards with other separa
 phone numbers without a plus.  Boosted trees score each proposal by its format (digits,
 groups, separators, check digit) and its context (neighbouring characters, words before
 it); a threshold per kind, calibrated for precision on labelled examples the trees were
-not fitted to, selects spans.  Selected proposals that touch a base span, or a selected
-proposal before them, are dropped.
+not fitted to, selects spans.  Selected proposals that overlap a base span, or a selected
+proposal that starts before them, are dropped.
 
 The trees are fitted on `EXAMPLES` labelled spans per kind, written by a seeded generator
 in this module; neither their number nor the fit depends on the corpus.
 
 Positions are code points.  Matches and the text between them come from two passes of the
 same pattern (regexp_extract_all and split), positions from running sums of their lengths.
+Sums and maxima run over blocks of `BLOCK` matches and over the blocks, overlaps are found
+by one sweep in order of position, and a text is cut in pieces of `PIECE` characters for
+its contexts, so a text with many thousands of matches takes hardly more than linear time.
 
 Edge cases: a null or empty text has no spans; copies and repeated ids are rows of their
 own; patterns use possessive groups and anchored starts, so long runs of digits or letters
@@ -35,6 +38,7 @@ from .common import text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 EXAMPLES = 600
+BLOCK, PIECE = 64, 2048
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: kind: (cheap test that a text may match, pattern).  The patterns find the same leftmost
 #: non-overlapping matches as the plain ones; runs are entered at their start only.
@@ -74,9 +78,23 @@ def _quoted(pattern: str) -> str:
     return "r'" + pattern.replace("'", "\\x27") + "'"
 
 
+def _running(df: DataFrame, name: str, values: str, zero: str, step: str) -> tuple[DataFrame, str]:
+    """df with helper columns, and the SQL of the aggregate of all elements of the array `values` before index k.
+
+    `step` folds x into a.  Every helper is named twice where it is used: the optimizer may not
+    move what is named once into a lambda, where it would be computed for each element.
+    """
+    blocks, heads = f"{name}_blocks", f"{name}_heads"
+    fold = f"{zero}, (a, x) -> {step}"
+    df = df.withColumn(blocks, F.expr(f"transform(sequence(0, (size({values}) - 1) div {BLOCK}), b -> aggregate(slice({values}, cast(b * {BLOCK} + 1 AS int), {BLOCK}), {fold}))"))
+    df = df.withColumn(heads, F.expr(f"transform({blocks}, (y, b) -> aggregate(slice({blocks}, 1, least(b, size({blocks}))), {fold}))"))
+    upto = f"aggregate(slice({values}, cast(k div {BLOCK} * {BLOCK} + 1 AS int), k % {BLOCK}), get({heads}, cast(k div {BLOCK} AS int)), (a, x) -> {step})"
+    return df, f"CASE WHEN size({heads}) = 0 THEN {zero} ELSE {upto} END"
+
+
 def _matches(df: DataFrame, name: str, kind: str, test: str, pattern: str) -> DataFrame:
     """df with the column `name`: all matches in __pii_text as (kind, s, e, m)."""
-    p, gaps, found = _quoted(pattern), f"{name}_gaps", f"{name}_found"
+    p, gaps, found, steps = _quoted(pattern), f"{name}_gaps", f"{name}_found", f"{name}_steps"
     here = f"__pii_text RLIKE {_quoted(test)}"
     df = df.withColumns(
         {
@@ -84,12 +102,11 @@ def _matches(df: DataFrame, name: str, kind: str, test: str, pattern: str) -> Da
             found: F.expr(f"CASE WHEN {here} THEN regexp_extract_all(__pii_text, {p}, 0) ELSE cast(array() AS array<string>) END"),
         }
     )
-    # Each array is named more than once below: the optimizer must not move the pattern into the lambda.
-    spans = f"""transform({found}, (m, k) -> struct({KINDS.index(kind)} AS kind,
-        aggregate(slice({gaps}, 1, least(k + 1, size({gaps}))), 0, (n, x) -> n + length(x))
-        + CASE WHEN k = 0 THEN 0 ELSE aggregate(slice({found}, 1, least(k, size({found}))), 0, (n, x) -> n + length(x)) END AS s, m AS m))"""
+    df = df.withColumn(steps, F.expr(f"CASE WHEN size({gaps}) = 0 OR size({found}) = 0 THEN cast(array() AS array<int>) ELSE transform({found}, (m, k) -> length(m) + length(get({gaps}, k))) END"))
+    df, before = _running(df, name, steps, "0", "a + x")
+    spans = f"transform({found}, (m, k) -> struct({KINDS.index(kind)} AS kind, {before} + length(get({gaps}, k)) AS s, m AS m))"
     df = df.withColumn(name, F.expr(f"CASE WHEN size({found}) = 0 OR size({gaps}) = 0 THEN NULL ELSE {spans} END"))
-    return df.drop(gaps, found)
+    return df.drop(gaps, found, steps, f"{name}_blocks", f"{name}_heads")
 
 
 def _valid(kind: str) -> str:
@@ -102,11 +119,24 @@ def _valid(kind: str) -> str:
     }[kind]
 
 
-def _features(kind: str, x: str, text: str) -> str:
-    """A struct of FEATURES for span x (kind, s, m) of a text."""
+def _cut(a: str, b: str) -> str:
+    """The characters a to b (exclusive) of a text that lies in __pii_pieces."""
+    i, j = f"cast(({a}) div {PIECE} AS int)", f"cast(({b}) div {PIECE} AS int)"
+    head, tail = f"substring(get(__pii_pieces, {i}), cast(({a}) % {PIECE} + 1 AS int)", f"substring(coalesce(get(__pii_pieces, {j}), ''), 1, cast(({b}) % {PIECE} AS int))"
+    between = f"array_join(slice(__pii_pieces, {i} + 2, {j} - {i} - 1), '')"
+    return f"CASE WHEN {b} <= {a} THEN '' WHEN {i} = {j} THEN {head}, cast({b} - ({a}) AS int)) ELSE concat({head}), {between}, {tail}) END"
+
+
+def _with_pieces(df: DataFrame) -> DataFrame:
+    pieces = f"transform(sequence(0, length(__pii_text) div {PIECE}), i -> substring(__pii_text, cast(i * {PIECE} + 1 AS int), {PIECE}))"
+    return df.withColumn("__pii_pieces", F.expr(pieces))
+
+
+def _features(kind: str, x: str) -> str:
+    """A struct of FEATURES for span x (kind, s, m) of the text in __pii_pieces."""
     digits = f"regexp_replace({x}.m, '[^0-9]', '')"
     groups = f"regexp_extract_all({x}.m, '([0-9]+)', 1)"
-    before, after = f"substring({text}, greatest({x}.s - 31, 1), least({x}.s, 32))", f"substring({text}, {x}.s + length({x}.m) + 1, 1)"
+    before, after = _cut(f"greatest({x}.s - 32, 0)", f"{x}.s"), _cut(f"{x}.s + length({x}.m)", f"{x}.s + length({x}.m) + 1")
     values = {
         "chars": f"length({x}.m)",
         "digits": f"length({digits})",
@@ -178,10 +208,11 @@ def labelled_examples(n: int = EXAMPLES, seed: int = 11) -> list[tuple[str, str,
 def _models(application: str, examples: int) -> dict[str, boosting.Model]:
     spark = SparkSession.getActiveSession()
     rows = [(i, k, b + s + " and", len(b), s, y) for i, (k, b, s, y) in enumerate(labelled_examples(examples))]
-    df = spark.createDataFrame(rows, "i int, kind string, t string, s int, m string, y int").withColumn("x", F.struct("s", "m"))
+    df = spark.createDataFrame(rows, "i int, kind string, __pii_text string, s int, m string, y int").withColumn("x", F.struct("s", "m"))
+    df = _with_pieces(df)
     out = {}
     for kind in KINDS:
-        got = df.filter(F.col("kind") == kind).select("i", "y", F.expr(_features(kind, "x", "t")).alias("f")).orderBy("i").collect()
+        got = df.filter(F.col("kind") == kind).select("i", "y", F.expr(_features(kind, "x")).alias("f")).orderBy("i").collect()
         # Neighbours in i alternate between fitting and calibration; both hold both labels.
         x, y = np.array([list(r.f) for r in got]), np.array([r.y for r in got], dtype=float)
         out[kind] = boosting.fit(x, y)
@@ -194,25 +225,38 @@ def models(spark: SparkSession, examples: int = EXAMPLES) -> dict[str, boosting.
 
 
 def with_spans(docs: DataFrame, examples: int = EXAMPLES) -> DataFrame:
-    """docs with __pii_text, __pii_base and __pii_spans: arrays of (kind, s, e), by kind, then start."""
+    """docs with __pii_text, __pii_base and __pii_spans: arrays of (kind, s, e), by kind, then start; __pii_scored: every proposal as (kind, s, e, score)."""
     trees = models(docs.sparkSession, examples)
     df = docs.withColumn("__pii_text", text_or_empty())
-    base, more = [], []
+    base, scored = [], []
     for kind, (test, pattern) in BASE.items():
         df = _matches(df, f"__pii_b_{kind}", kind, test, pattern)
         base.append(f"transform(filter(coalesce(__pii_b_{kind}, array()), x -> {_valid(kind)}), x -> struct(x.kind AS kind, x.s AS s, x.s + length(x.m) AS e))")
     df = df.withColumn("__pii_base", F.expr(f"concat({', '.join(base)})")).drop(*[f"__pii_b_{k}" for k in KINDS])
     for kind, (test, pattern) in PROPOSED.items():
         df = _matches(df, f"__pii_p_{kind}", kind, test, pattern)
+    df = _with_pieces(df)
+    for kind in PROPOSED:
         score = trees[kind].sql([f"f.{n}" for n in FEATURES])
-        chosen = f"exists(array({_features(kind, 'x', '__pii_text')}), f -> {score} >= {trees[kind].threshold!r}D)"
-        more.append(f"transform(filter(coalesce(__pii_p_{kind}, array()), x -> {chosen}), x -> struct(x.kind AS kind, x.s AS s, x.s + length(x.m) AS e))")
-    df = df.withColumn("__pii_more", F.expr(f"concat({', '.join(more)})")).drop(*[f"__pii_p_{k}" for k in KINDS])
-    clear = """filter(__pii_more, (x, i) -> NOT exists(__pii_base, b -> b.s < x.e AND x.s < b.e)
-        AND NOT exists(slice(__pii_more, 1, i), b -> b.s < x.e AND x.s < b.e))"""
-    empty = "size(__pii_more) = 0"
-    df = df.withColumn("__pii_spans", F.expr(f"CASE WHEN {empty} THEN __pii_base ELSE sort_array(concat(__pii_base, {clear})) END"))
-    return df.drop("__pii_more")
+        named = f"get(transform(array({_features(kind, 'x')}), f -> struct(x.kind AS kind, x.s AS s, x.s + length(x.m) AS e, {score} AS score)), 0)"
+        scored.append(f"CASE WHEN __pii_p_{kind} IS NULL OR size(__pii_pieces) = 0 THEN array() ELSE transform(__pii_p_{kind}, x -> {named}) END")
+    df = df.withColumn("__pii_scored", F.expr(f"concat({', '.join(scored)})")).drop("__pii_pieces", *[f"__pii_p_{k}" for k in KINDS])
+    enough = " OR ".join(f"(x.kind = {i} AND x.score >= {trees[k].threshold!r}D)" for i, k in enumerate(KINDS))
+    # Base spans and selected proposals in order of position, a base span first where they tie.
+    df = df.withColumn("__pii_more", F.expr(f"filter(__pii_scored, x -> {enough})"))
+    df = df.withColumn(
+        "__pii_all",
+        F.expr("""CASE WHEN size(__pii_more) = 0 THEN cast(array() AS array<struct<s: int, more: int, e: int, kind: int>>) ELSE sort_array(concat(
+            transform(__pii_base, x -> struct(x.s AS s, 0 AS more, x.e AS e, x.kind AS kind)), transform(__pii_more, x -> struct(x.s AS s, 1 AS more, x.e AS e, x.kind AS kind)))) END"""),
+    )
+    df = df.withColumns({"__pii_ends": F.expr("transform(__pii_all, x -> x.e)"), "__pii_starts": F.expr("reverse(transform(__pii_all, x -> CASE WHEN x.more = 0 THEN x.s ELSE 2147483647 END))")})
+    df, ended = _running(df, "__pii_ended", "__pii_ends", "0", "greatest(a, x)")
+    df, next_base = _running(df, "__pii_next", "__pii_starts", "2147483647", "least(a, x)")
+    df = df.withColumn("__pii_bounds", F.expr(f"transform(__pii_all, (y, k) -> struct({ended} AS ended, {next_base} AS after))"))
+    clear = """transform(filter(__pii_all, (x, k) -> x.more = 1 AND get(__pii_bounds, k).ended <= x.s AND get(__pii_bounds, size(__pii_bounds) - 1 - k).after >= x.e),
+        x -> struct(x.kind AS kind, x.s AS s, x.e AS e))"""
+    df = df.withColumn("__pii_spans", F.expr(f"CASE WHEN size(__pii_bounds) = 0 THEN __pii_base ELSE sort_array(concat(__pii_base, {clear})) END"))
+    return df.drop("__pii_more", "__pii_all", "__pii_ends", "__pii_starts", "__pii_bounds", *[f"__pii_{n}_{x}" for n in ("ended", "next") for x in ("blocks", "heads")])
 
 
 def _listed(spans: str) -> str:
@@ -221,19 +265,23 @@ def _listed(spans: str) -> str:
 
 
 def span_report(docs: DataFrame, examples: int = EXAMPLES) -> DataFrame:
-    """doc_id, base counts per kind, base_sha256 and all spans of every document."""
+    """doc_id, base counts per kind, base_sha256 and all spans of every document, the number of proposals and the best one's probability."""
     df = with_spans(docs.select("doc_id", "text"), examples)
     counts = [F.expr(f"cast(size(filter(__pii_base, x -> x.kind = {i})) AS long)").alias(f"n_{k}") for i, k in enumerate(KINDS)]
-    return df.select("doc_id", *counts, F.sha2(F.expr(_listed("__pii_base")), 256).alias("base_sha256"), F.expr(_listed("__pii_spans")).alias("spans"))
+    proposed = [F.size("__pii_scored").cast("long").alias("n_proposed"), F.round(F.expr("array_max(transform(__pii_scored, x -> x.score))"), 6).alias("best_score")]
+    return df.select("doc_id", *counts, F.sha2(F.expr(_listed("__pii_base")), 256).alias("base_sha256"), F.expr(_listed("__pii_spans")).alias("spans"), *proposed)
 
 
 def redacted(docs: DataFrame, examples: int = EXAMPLES) -> DataFrame:
     """docs with every span of text replaced by its kind in brackets; a null text stays null."""
     names = ", ".join(f"'[{k}]'" for k in KINDS)
-    in_order = "array_sort(__pii_spans, (a, b) -> CASE WHEN a.s < b.s THEN -1 WHEN a.s > b.s THEN 1 ELSE b.e - a.e END)"
-    text = F.expr(f"""CASE WHEN text IS NULL THEN NULL ELSE aggregate({in_order}, struct('' AS done, 0 AS upto),
-        (a, x) -> CASE WHEN x.s < a.upto THEN struct(a.done AS done, greatest(a.upto, x.e) AS upto)
-            ELSE struct(concat(a.done, substring(__pii_text, a.upto + 1, x.s - a.upto), get(array({names}), x.kind)) AS done, x.e AS upto) END,
-        a -> concat(a.done, substring(__pii_text, a.upto + 1))) END""")
-    df = with_spans(docs, examples)
+    df = _with_pieces(with_spans(docs, examples))
+    df = df.withColumn("__pii_order", F.expr("array_sort(__pii_spans, (a, b) -> CASE WHEN a.s < b.s THEN -1 WHEN a.s > b.s THEN 1 ELSE b.e - a.e END)"))
+    df = df.withColumn("__pii_ends", F.expr("transform(__pii_order, x -> x.e)"))
+    df, ended = _running(df, "__pii_ended", "__pii_ends", "0", "greatest(a, x)")
+    df = df.withColumn("__pii_upto", F.expr(f"transform(__pii_order, (y, k) -> {ended})"))
+    # A span that starts inside an earlier one is part of it.
+    parts = f"transform(__pii_order, (y, k) -> CASE WHEN y.s < get(__pii_upto, k) THEN '' ELSE concat({_cut('get(__pii_upto, k)', 'y.s')}, get(array({names}), y.kind)) END)"
+    rest = _cut("array_max(__pii_ends)", "length(__pii_text)")
+    text = F.expr(f"CASE WHEN text IS NULL OR size(__pii_order) = 0 OR size(__pii_upto) = 0 OR size(__pii_pieces) = 0 THEN text ELSE concat(array_join({parts}, ''), {rest}) END")
     return df.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
