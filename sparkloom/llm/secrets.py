@@ -10,8 +10,9 @@ calibrated on labelled examples that the automata were not inferred from.
 The labelled examples are `EXAMPLES` strings per format, written by a seeded generator in
 this module; neither their number nor the automata depend on the corpus.
 
-Positions are code points.  One pass over a text finds the candidates; texts without any
-are done, since access keys and hex strings are candidates, too.
+Every candidate is scored; one that overlaps a base span adds none.  Positions are code
+points.  One pass over a text finds the candidates; texts without any are done, since access
+keys and hex strings are candidates, too.  Overlaps are found by bisection.
 
 Edge cases: a null or empty text has no spans; texts are scanned whole, whatever their
 length, a candidate's score costs time in proportion to its length; copies and repeated ids
@@ -24,8 +25,11 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -123,11 +127,14 @@ def scorer(examples: int = EXAMPLES) -> Scorer:
     return Scorer(automata, plain, max(0.2, ordinary[len(ordinary) * 99 // 100]))
 
 
-def find_spans(text: str | None, s: Scorer) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """(base spans, all spans) as (start, end, kind), by start, then kind as listed."""
+Span = tuple[int, int, str]
+
+
+def find_spans(text: str | None, s: Scorer) -> tuple[list[Span], list[Span], list[float]]:
+    """(base spans, all spans) as (start, end, kind), by start, then kind as listed, and the score of every candidate."""
     if not text:
-        return [], []
-    base: list[tuple[int, int, str]] = []
+        return [], [], []
+    base: list[Span] = []
     low = text.lower()
     if any(w in low for w in ASSIGN_WORDS):
         base += [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
@@ -137,14 +144,15 @@ def find_spans(text: str | None, s: Scorer) -> tuple[list[tuple[int, int, str]],
             base += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
         base += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
     base.sort(key=lambda x: (x[0], KINDS.index(x[2])))
-    more = []
+    starts, ends = [x[0] for x in base], list(accumulate((x[1] for x in base), max))
+    more, scores = [], []
     for a, b in candidates:
-        if any(x < b and a < y for x, y, _ in base):
-            continue
         ratio, name = s.best(text[a:b])
-        if ratio >= s.margin:
+        scores.append(ratio)
+        before = bisect_left(starts, b)  # base spans that start before the candidate ends
+        if ratio >= s.margin and not (before and ends[before - 1] > a):
             more.append((a, b, FORMAT_KIND[name]))
-    return base, sorted(base + more, key=lambda x: (x[0], KINDS.index(x[2]))) if more else base
+    return base, sorted(base + more, key=lambda x: (x[0], KINDS.index(x[2]))) if more else base, scores
 
 
 def _listed(spans: list[tuple[int, int, str]]) -> str:
@@ -152,23 +160,24 @@ def _listed(spans: list[tuple[int, int, str]]) -> str:
 
 
 def secret_report(docs: DataFrame, examples: int = EXAMPLES) -> DataFrame:
-    """doc_id, base counts per kind, base_sha256 and all spans of every document."""
+    """doc_id, base counts per kind, base_sha256 and all spans of every document, the number of candidates and the best one's score."""
     model = scorer(examples)
-    names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"]
+    names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_candidates", "best_score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(5)]
+            out: list[list] = [[] for _ in names[1:]]
             for begin in range(0, batch.num_rows, 256):
                 for text in batch.column(1).slice(begin, 256).to_pylist():
-                    base, spans = find_spans(text, model)
-                    kinds = [k for _, _, k in base]
-                    for column, value in zip(out, (*[kinds.count(k) for k in KINDS], hashlib.sha256(_listed(base).encode()).hexdigest(), _listed(spans))):
+                    base, spans, scores = find_spans(text, model)
+                    kinds = Counter(k for _, _, k in base)
+                    row = (*[kinds[k] for k in KINDS], hashlib.sha256(_listed(base).encode()).hexdigest(), _listed(spans), len(scores), round(max(scores), 6) if scores else None)
+                    for column, value in zip(out, row):
                         column.append(value)
-            arrays = [pa.array(c, pa.int64()) for c in out[:3]] + [pa.array(c, pa.string()) for c in out[3:]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)
+            kinds_of = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(out, kinds_of)]], names)
 
-    schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+    schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_candidates long, best_score double"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
