@@ -16,8 +16,11 @@ block of the level above.
 
 The blocks drawn are exact quotas, one number per source.  A binary tree splits the
 output shards in halves down to single shards; each node gives its left half a
-multivariate-hypergeometric draw from its quotas.  A shard takes the next blocks of each
-source in the order drawn, and its rows are shuffled locally by a hash of key and copy.
+multivariate-hypergeometric draw from its quotas.  A shard takes as many blocks of a source
+as its leaf says, the next ones of the source's permuted list, and the mix is what the
+shards took: a row is in it once for every shard's block that holds it, and what a row adds
+to its source's taken words is the sum over the shards.  Inside a shard rows are shuffled
+locally by a hash of key and copy.
 
 Edge cases: a null text has no words, and a row without words is taken or not without
 effect on the sums; a null source is a source; rows equal in doc_id and text share a key,
@@ -39,6 +42,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 SEED = 20240
+SHARDS = 16
 MAX_BITS, SUB_BITS, BLOCK_ROWS = 12, 12, 4
 _P = "__mix_"
 
@@ -73,13 +77,13 @@ def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
     return docs.withColumns({f"{_P}size": size, f"{_P}key": F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 1)})
 
 
-def _tree(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarray:
+def splitting_tree(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarray:
     """Blocks of each source (rows) for each shard (columns)."""
     if shards == 1:
         return quotas[:, None]
     left = shards // 2
     drawn = rng.multivariate_hypergeometric(quotas, int(quotas.sum()) * left // shards, method="marginals")
-    return np.concatenate([_tree(drawn, left, rng), _tree(quotas - drawn, shards - left, rng)], axis=1)
+    return np.concatenate([splitting_tree(drawn, left, rng), splitting_tree(quotas - drawn, shards - left, rng)], axis=1)
 
 
 def _cut(rows: DataFrame, plan: DataFrame, digit: Column, more: list[str]) -> DataFrame:
@@ -118,8 +122,8 @@ def _run(keyed: DataFrame, left: DataFrame, later: bool) -> DataFrame:
     return last.select("sid", F.col("c.key").alias("upto"), F.col("c.take").alias("take"), (F.col("c.take") == F.col("c.n")).alias("whole"), F.col("c.gap").alias("gap"))
 
 
-def mixing_plan(rows: DataFrame, shards: int = 16, seed: int = SEED, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """One row per source: sizes, target, whole epochs, and where the rest is cut; rows are `sized`."""
+def mixing_plan(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, share: float = SHARE, most: int = MOST, tree=splitting_tree) -> DataFrame:
+    """One row per source: sizes, target, whole epochs, where the rest is cut, and which of its blocks each shard takes; rows are `sized`."""
     narrow = rows.select("source", F.col(f"{_P}size").alias("size"), F.col(f"{_P}key").alias("key"))
     sources = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     plan = source_targets(sources, share, most)
@@ -150,7 +154,7 @@ def mixing_plan(rows: DataFrame, shards: int = 16, seed: int = SEED, share: floa
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("sid", kind="stable").reset_index(drop=True)
-        leaves = _tree(pdf["drawn"].to_numpy(np.int64), shards, np.random.Generator(np.random.PCG64(seed)))
+        leaves = tree(pdf["drawn"].to_numpy(np.int64), shards, np.random.Generator(np.random.PCG64(seed)))
         return pd.DataFrame({"sid": pdf["sid"], "shard_ends": list(np.cumsum(leaves, axis=1))})
 
     # One row per source and none of a document: the tree's quotas fit in one task.
@@ -158,46 +162,55 @@ def mixing_plan(rows: DataFrame, shards: int = 16, seed: int = SEED, share: floa
     return written(plan.join(leaves, "sid").drop("sid"), "mix-plan")
 
 
-def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """The sized rows with __mix_copies and, as __mix_plan, their source's plan."""
+def with_shards(rows: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
+    """The sized rows with __mix_shards, the shards that take them (one entry per copy), and as __mix_plan their source's plan."""
     p = plan.select(F.col("source").alias(f"{_P}source"), F.struct(*[c for c in plan.columns if c != "source"]).alias(f"{_P}plan"))
     joined = rows.join(p, F.col("source").eqNullSafe(F.col(f"{_P}source"))).drop(f"{_P}source")
     run = F.expr(f"get(filter({_P}plan.runs, r -> {_P}key > r.after AND {_P}key <= r.upto AND {_P}size <= r.most), 0)")
     joined = joined.withColumn(f"{_P}run", run)
     alone = F.coalesce((F.col(f"{_P}key") == F.col(f"{_P}run.upto")) & ~F.col(f"{_P}run.whole"), F.lit(False))
-    rest = F.col(f"{_P}run").isNotNull().cast("int")
-    clear = joined.filter(~alone).withColumn(f"{_P}copies", F.col(f"{_P}plan.epochs") + rest).drop(f"{_P}run")
+    clear = joined.filter(~alone).withColumn(f"{_P}rest", F.col(f"{_P}run").isNotNull())
     # The row at which a run ends, with the rows equal to it.
     tie = F.row_number().over(Window.partitionBy("source", f"{_P}key").orderBy("doc_id"))
-    among = joined.filter(alone).withColumn(f"{_P}copies", F.col(f"{_P}plan.epochs") + (tie <= F.col(f"{_P}run.take")).cast("int")).drop(f"{_P}run")
-    return clear.unionByName(among)
-
-
-def taken(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
-    rows = written(sized(docs.select("doc_id", "source", "text")).drop("text"), "mix-sizes")
-    mixed = with_copies(rows, mixing_plan(rows, **options))
-    size, copies = F.col(f"{_P}size"), F.col(f"{_P}copies")
+    among = joined.filter(alone).withColumn(f"{_P}rest", tie <= F.col(f"{_P}run.take"))
+    drawn = clear.unionByName(among).drop(f"{_P}run")
+    # A row's places in the list of its source's blocks: one in each whole epoch, whose blocks an odd
+    # multiplier permutes, and one in the rest, which keeps key order; rows of the rest in later blocks
+    # than its words are worth go to the earlier ones in turn.
+    block, blocks = f"shiftright({_P}key, 63 - {_P}plan.bits)", f"shiftleft(1L, {_P}plan.bits)"
+    epochs = f"transform(filter(sequence(0, {_P}plan.epochs), c -> c < {_P}plan.epochs), c -> c * {blocks} + (({block} * (2 * c + 5) + {seed}) & ({blocks} - 1)))"
+    rest = f"CASE WHEN {_P}rest THEN array({_P}plan.epochs * {blocks} + {block} % {_P}plan.rest_blocks) ELSE cast(array() AS array<bigint>) END"
+    drawn = drawn.withColumn(f"{_P}places", F.expr(f"concat({epochs}, {rest})"))
+    # A shard's blocks end where its leaf and those before it say; what no shard takes is not in the mix.
+    shard = f"size(filter({_P}plan.shard_ends, x -> x <= i))"
+    return drawn.withColumn(f"{_P}shards", F.expr(f"filter(transform({_P}places, i -> {shard}), s -> s < size({_P}plan.shard_ends))")).drop(f"{_P}places", f"{_P}rest")
+
+
+def taken(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken, shards."""
+    rows = written(sized(docs.select("doc_id", "source", "text"), seed).drop("text"), "mix-sizes")
+    mixed = with_shards(rows, mixing_plan(rows, seed=seed, **options), seed)
+    size, copies = F.col(f"{_P}size"), F.size(f"{_P}shards")
     plan = [F.col(f"{_P}plan.{c}").alias(c) for c in ("source_size", "target")]
-    return mixed.select("doc_id", "source", size.alias("size"), *plan, copies.alias("copies"), (size * copies).cast("long").alias("taken"))
+    return mixed.select("doc_id", "source", size.alias("size"), *plan, copies.alias("copies"), (size * copies).cast("long").alias("taken"), F.array_join(f"{_P}shards", ",").alias("shards"))
 
 
-def mix(docs: DataFrame, shards: int = 16, seed: int = SEED, **options) -> DataFrame:
+def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, **options) -> DataFrame:
     """The mix itself: every drawn copy of a row, with the columns shard, slot_key and copy after those of docs.
 
     Inside a shard, ascending slot_key is the local shuffle.
     """
     plan = mixing_plan(written(sized(docs, seed).select("source", f"{_P}size", f"{_P}key"), "mix-sizes"), shards, seed, **options)
-    drawn = with_copies(sized(docs, seed), plan).filter(F.col(f"{_P}copies") > 0)
-    drawn = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(f"{_P}copies") - 1)))
-    # Whole epochs permute their blocks by an odd multiplier; the rest keeps key order, and its rows
-    # in later blocks than its words are worth go to the earlier ones in turn.
-    index = F.expr(f"""CASE WHEN copy < {_P}plan.epochs
-        THEN copy * shiftleft(1L, {_P}plan.bits) + ((shiftright({_P}key, 63 - {_P}plan.bits) * (2 * copy + 5) + {seed}) & (shiftleft(1L, {_P}plan.bits) - 1))
-        ELSE {_P}plan.epochs * shiftleft(1L, {_P}plan.bits) + shiftright({_P}key, 63 - {_P}plan.bits) % {_P}plan.rest_blocks END""")
-    drawn = drawn.withColumn(f"{_P}index", index)
-    shard = F.size(F.filter(f"{_P}plan.shard_ends", lambda end: end <= F.col(f"{_P}index")))
-    return drawn.select(*docs.columns, shard.alias("shard"), F.xxhash64(F.lit(seed + 1), f"{_P}key", "copy").alias("slot_key"), "copy")
+    drawn = with_shards(sized(docs, seed), plan, seed)
+    drawn = drawn.select(*docs.columns, f"{_P}key", F.posexplode(f"{_P}shards").alias(f"{_P}copy", f"{_P}shard"))
+    own = [F.col(f"{_P}shard").alias("shard"), F.xxhash64(F.lit(seed + 1), f"{_P}key", f"{_P}copy").alias("slot_key"), F.col(f"{_P}copy").alias("copy")]
+    return drawn.select(*docs.columns, *own)
+
+
+def write_mix(docs: DataFrame, path: str, shards: int = SHARDS, **options) -> None:
+    """Write the mix as one folder a shard, the rows of a file in the order of their shuffle; docs has no columns named shard, slot_key or copy."""
+    drawn = mix(docs, shards, **options).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot_key")
+    drawn.drop("slot_key", "copy").write.partitionBy("shard").parquet(path)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

@@ -21,7 +21,7 @@ def tokenizer_path() -> str:
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.taken(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

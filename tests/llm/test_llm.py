@@ -137,7 +137,38 @@ def test_mix_rows_agree_with_the_report(small):
     copies = {r.doc_id: r.copies for r in mixing.taken(small).collect()}
     rows = mixing.mix(small).collect()
     assert Counter(r.doc_id for r in rows) == Counter({k: v for k, v in copies.items() if v})
-    assert all(0 <= r.shard < 16 for r in rows)
+    shards = {r.doc_id: Counter(filter(None, r.shards.split(","))) for r in mixing.taken(small).collect()}
+    assert shards == {**dict.fromkeys(copies, Counter()), **{d: Counter(str(r.shard) for r in rows if r.doc_id == d) for d in {r.doc_id for r in rows}}}
+
+
+def test_the_tree_decides_what_is_taken(small, tmp_path):
+    def first_only(quotas, shards, rng):
+        return np.concatenate([quotas[:, None], np.zeros((len(quotas), shards - 1), np.int64)], axis=1)
+
+    def one_of_two(quotas, shards, rng):  # every second shard's leaf is lost
+        leaves = mixing.splitting_tree(quotas, shards, rng)
+        leaves[:, shards // 2 :] = 0
+        return leaves
+
+    total = lambda rows: sum(r.taken for r in rows)
+    whole = mixing.taken(small).collect()
+    assert len({x for r in whole for x in r.shards.split(",") if x}) == 16
+    assert {x for r in mixing.taken(small, tree=first_only).collect() for x in r.shards.split(",") if x} == {"0"}
+    assert 0.3 * total(whole) < total(mixing.taken(small, tree=one_of_two).collect()) < 0.7 * total(whole)
+    # Each shard has about its share of every large source.
+    words = Counter()
+    for r in mixing.mix(small, shards=4).collect():
+        words[r.shard] += len(brute.WORD.findall(r.text or ""))
+    assert max(words.values()) < 2 * min(words.values())
+    mixing.write_mix(small, f"file://{tmp_path}/mix", shards=4)
+    assert small.sparkSession.read.parquet(f"file://{tmp_path}/mix").count() == sum(r.copies for r in whole)
+
+
+def test_leaves_are_exact_quotas():
+    quotas = np.array([5, 0, 70, 1, 1000])
+    leaves = mixing.splitting_tree(quotas, 7, np.random.Generator(np.random.PCG64(1)))
+    assert leaves.shape == (5, 7) and (leaves >= 0).all() and (leaves.sum(axis=1) == quotas).all()
+    assert abs(leaves.sum(axis=0) - quotas.sum() / 7).max() <= 3
 
 
 # 2
