@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import maybe_broadcast, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -13,20 +13,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round hangs every larger neighbour of a node on the node's smallest neighbour, then
     every smaller one; rounds needed grow with the logarithm of the longest path.  Edges are
-    rows throughout; a hub's edges are sorted with spilling, never held as one value.
+    rows throughout; a hub's edges are neither held as one value nor sorted in one task.
     """
 
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
+    def with_least(df: DataFrame) -> DataFrame:
+        """df with m, the smallest v of each u: one row per u and task goes to the sums, then back by a join that may be split where u is a hub."""
+        least = written(df.groupBy("u").agg(F.min("v").alias("m")), "least")
+        return df.join(maybe_broadcast(least, least.count(), 16), "u")
+
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
     e = written(e, "edges")
     before = mark(e)
-    of_u = Window.partitionBy("u")
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.withColumn("m", F.least("u", F.min("v").over(of_u))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.withColumn("m", F.min("v").over(of_u))
+        large = with_least(both).withColumn("m", F.least("u", "m")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = with_least(written(large, "edges"))
         hung = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
         small = least.withColumn("x", hung).select(F.col("x").alias("u"), F.col("m").alias("v"))
         own = least.filter("v != m").select("u", F.col("m").alias("v"))

@@ -4,21 +4,25 @@ A document is the set of its distinct 5-word shingles (64-bit hashes).  Document
 equal sets form a class; the join runs over classes.
 
 Under any total order of tokens, two sets of Jaccard similarity t share a token among
-their first n - ceil(t n) + 1.  The orders here put tokens by the logarithm of their
-frequency, estimated for all tokens by a counting sketch over all documents (fixed size;
-an estimate that is off costs time, never a link), then by a hash that differs from order
-to order.  So common passages come last in all of them.
-
-  1. Tokens of the first order's prefixes are grouped; those of one class drop out.
+their first n - ceil(t n) + 1.  Three global orders are used: by the logarithm of a token's
+frequency, by a coarse step of it (a factor of 16) with another hash inside the step, and by
+a third hash alone.  Frequencies are estimated for all tokens by a counting sketch over all
+documents (fixed size; an estimate that is off costs time, never a link).  Under the first
+order common passages come last, which makes few candidates; the other orders pick other
+tokens, and a candidate must share prefix tokens under all three.
+
+  1. Tokens of the first order's prefixes are grouped; those of one class drop out.  Tokens
+     that are frequent by the sketch are dealt out with a salt, so no task holds a hot token.
   2. Each token's smallest class is compared with the others (a star, never all pairs),
      and the links found give a first set of components.
   3. Tokens all of whose classes are already connected drop out.  In the others, classes
      of different components are paired if their sizes allow it and their 512-bit parity
      sketches do not rule it out (the distance of two sketches is at most the number of
-     tokens that the sets do not share).  Tokens with many classes are split in blocks.
-     What is left is tested with wider sketches, which grow with the sets.
-  4. Every candidate must share prefix tokens under the other orders, too; what passes is
-     verified on the whole sets.
+     tokens that the sets do not share).  The classes of a token with more than `BLOCK` are
+     split by the tokens of their second prefix, and where that leaves more than `BLOCK`
+     again by the third: a pair that shares no token of one of them is never formed.
+  4. A candidate's prefixes under the second and third order are intersected, then wider
+     parity sketches compared; only then do whole sets move, and what passed is verified.
   5. Components over all links found.
 
 A pair never compared is one whose ends are connected anyway, or that some filter proves
@@ -41,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, maybe_broadcast, written
+from .common import maybe_broadcast, written
 from .components import connected_components
 from .shingles import U64, mix, shingle_sets
 
@@ -52,7 +56,10 @@ PARITY_BITS = 512
 MAX_WIDE_BITS = 15
 #: Classes of one token that are paired in one block.
 BLOCK = 512
-ORDERS = (U64(0x51ED270B7F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9))
+#: The global orders: a hash, and how much of the frequency rank goes before it (in bits cut off; 8 is all of it).
+ORDERS = ((U64(0x51ED270B7F4A7C15), 0), (U64(0xC2B2AE3D27D4EB4F), 4), (U64(0x165667B19E3779F9), 8))
+#: Expected occurrences of a token from which its rows are dealt out with a salt.
+HOT_TOKEN = 1 << 17
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -88,9 +95,9 @@ def sketch_distance(x: bytes, y: bytes) -> int:
 
 def token_prefix(values: np.ndarray, ranks: np.ndarray, order: int, percent: int) -> np.ndarray:
     """The set's first tokens under one of the global orders."""
-    p = prefix_length(len(values), percent)
-    rank = ranks[(values >> U64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
-    key = (rank << U64(56)) | (mix(values ^ ORDERS[order]) >> U64(8))
+    p, (seed, cut) = prefix_length(len(values), percent), ORDERS[order]
+    rank = ranks[(values >> U64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) >> U64(cut)
+    key = (rank << U64(56)) | (mix(values ^ seed) >> U64(8))
     return values[np.argpartition(key, p - 1)[:p]] if p < len(values) else values
 
 
@@ -120,8 +127,8 @@ def _signatures(docs: DataFrame, k: int) -> DataFrame:
     return _keyed(docs).mapInArrow(run, "rid long, doc_id long, n long, class long, slice int, counts binary")
 
 
-def _token_ranks(signatures: DataFrame) -> np.ndarray:
-    """For each sketch cell, the logarithm of its tokens' count against the mean, in quarters (one byte a cell)."""
+def _token_ranks(signatures: DataFrame) -> tuple[np.ndarray, float]:
+    """For each sketch cell, the logarithm of its tokens' count against the mean, in quarters (one byte a cell); the mean."""
     size = (1 << SKETCH_BITS) // SKETCH_SLICES
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,11 +144,15 @@ def _token_ranks(signatures: DataFrame) -> np.ndarray:
     total = {r.slice: np.frombuffer(r.counts, dtype=np.uint64) for r in partial.repartition("slice").mapInArrow(add, schema).collect()}
     counts = np.concatenate([total[s] for s in range(SKETCH_SLICES)]) if total else np.zeros(1 << SKETCH_BITS, np.uint64)
     mean = max(1.0, float(counts.mean()))
-    return np.clip(np.rint(4 * np.log2(np.maximum(counts, 1) / mean)), 0, 255).astype(np.uint8)
+    return np.clip(np.rint(4 * np.log2(np.maximum(counts, 1) / mean)), 0, 255).astype(np.uint8), mean
+
 
+def _prefixes(docs: DataFrame, ranks, mean: float, k: int, percent: int, hot: int) -> DataFrame:
+    """(token, salt, salts, class, n) for the first order's prefixes; a task names each class once.
 
-def _prefixes(docs: DataFrame, ranks, k: int, percent: int) -> DataFrame:
-    """(token, class, n) for the first order's prefixes; a task names each class once."""
+    A token that may occur more than `hot` times has its classes dealt over so many salts.
+    """
+    salts = np.clip(np.ceil(mean * 2.0 ** (np.arange(256) / 4) / hot), 1, 1 << 20).astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -156,49 +167,73 @@ def _prefixes(docs: DataFrame, ranks, k: int, percent: int) -> DataFrame:
                     classes.append(np.full(len(tokens[-1]), c, dtype=np.int64))
                     sizes.append(np.full(len(tokens[-1]), b - a, dtype=np.int32))
                 if tokens:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(classes)), pa.array(np.concatenate(sizes))], ["token", "class", "n"])
+                    token, cls = np.concatenate(tokens), np.concatenate(classes)
+                    many = salts[ranks.value[(token >> U64(64 - SKETCH_BITS)).astype(np.int64)]]
+                    salt = (mix(cls.view(np.uint64)) % many.astype(np.uint64)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(salt), pa.array(many), pa.array(cls), pa.array(np.concatenate(sizes))], ["token", "salt", "salts", "class", "n"])
                 if len(seen) > 1_000_000:
                     seen.clear()
 
-    return docs.select("text").mapInArrow(run, "token long, class long, n int")
+    return docs.select("text").mapInArrow(run, "token long, salt int, salts int, class long, n int")
+
+
+def _shared(prefixes: DataFrame) -> DataFrame:
+    """(token, class, n, leader, leader_n): the prefix rows of tokens that more than one class has, with the token's smallest class."""
+    of_token = Window.partitionBy("token", "salt").orderBy("class").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    led = prefixes.withColumns({"leader": F.first("class").over(of_token), "leader_n": F.first("n").over(of_token), "last": F.last("class").over(of_token)})
+    led = written(led.filter("leader != last OR salts > 1").distinct(), "ngram-led")
+    names = ["token", "class", "n", "leader", "leader_n"]
+    cold, hot = led.filter("salts = 1").select(names), led.filter("salts > 1")
+    if hot.isEmpty():
+        return cold
+    # Salted tokens: their leaders come from one row per token and salt; Spark splits a skewed side of the join.
+    best = hot.groupBy("token").agg(F.min(F.struct("leader", "leader_n")).alias("best"), F.max("last").alias("top"))
+    best = best.filter(F.col("best.leader") != F.col("top")).select("token", F.col("best.leader").alias("leader"), F.col("best.leader_n").alias("leader_n"))
+    return written(cold.unionByName(hot.select("token", "class", "n").join(best, "token").select(names)), "ngram-shared")
 
 
-def _sets(docs: DataFrame, signatures: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """(class, n, tokens, parity, wide) of the stated classes, from one document of each."""
-    one = signatures.filter("class is not null").join(classes, "class", "left_semi").groupBy("class").agg(F.min("rid").alias("rid"))
-    one = written(one.select("rid").distinct(), "ngram-reps")
-    wanted = _keyed(docs).join(maybe_broadcast(one, one.count(), 16), "rid", "left_semi")
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, ranks, k: int, percent: int) -> DataFrame:
+    """(class, n, tokens, parity, marks, wide) of the wanted classes, from one document of each.
+
+    marks: the prefixes under the second and the third order, in 32 bits a token.
+    """
+    one = written(classes.join(wanted.distinct(), "class", "left_semi").select("rid").distinct(), "ngram-reps")
+    found = _keyed(docs).join(maybe_broadcast(one, one.count(), 16), "rid", "left_semi")
+
+    def marks(x: np.ndarray) -> bytes:
+        return b"".join((mix(token_prefix(x, ranks.value, o, percent)) >> U64(32)).astype(np.uint32).tobytes() for o in (1, 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, values, offsets in shingle_sets(batch.column(0), k):
-                rows = [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                rows = [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()) if b > a]
+                made = [[x.tobytes() for x in rows], [parity_sketch(x, PARITY_BITS) for x in rows], [marks(x) for x in rows], [parity_sketch(x, wide_bits(len(x))) for x in rows]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([class_id(x) for x in rows], pa.int64()), pa.array([len(x) for x in rows], pa.int32()), pa.array([x.tobytes() for x in rows], pa.binary()), pa.array([parity_sketch(x, PARITY_BITS) for x in rows], pa.binary()), pa.array([parity_sketch(x, wide_bits(len(x))) for x in rows], pa.binary())],
-                    ["class", "n", "tokens", "parity", "wide"],
+                    [pa.array([class_id(x) for x in rows], pa.int64()), pa.array([len(x) for x in rows], pa.int32()), *[pa.array(c, pa.binary()) for c in made]],
+                    ["class", "n", "tokens", "parity", "marks", "wide"],
                 )
 
     # Equal rows of a representative give equal sets; only one of each class may stay.
-    found = written(wanted.select("text").mapInArrow(run, "class long, n int, tokens binary, parity binary, wide binary"), "ngram-sets", "uncompressed")
-    again = found.groupBy("class").agg(F.count("*").alias("c")).filter("c > 1").limit(1).count()
-    return written(found.dropDuplicates(["class"]), "ngram-sets", "uncompressed") if again else found
+    sets = written(found.select("text").mapInArrow(run, "class long, n int, tokens binary, parity binary, marks binary, wide binary"), "ngram-sets", "uncompressed")
+    again = sets.groupBy("class").agg(F.count("*").alias("c")).filter("c > 1").limit(1).count()
+    return written(sets.dropDuplicates(["class"]), "ngram-sets", "uncompressed") if again else sets
 
 
-def _tested(pairs: DataFrame, n_pairs: int, sets: DataFrame, column: str, test) -> DataFrame:
-    """The pairs (a, b) for which test(value of one, value of the other) holds."""
+def _tested(pairs: DataFrame, n_pairs: int, sets: DataFrame, columns: list[str], test) -> DataFrame:
+    """The pairs (a, b) for which test(n and columns of one, n and columns of the other) holds."""
     asked = pairs.select(F.col("a").alias("class"), "a", "b").unionByName(pairs.select(F.col("b").alias("class"), "a", "b"))
-    both = sets.select("class", "n", column).join(maybe_broadcast(asked, 2 * n_pairs, 40), "class").select("a", "b", "n", column)
+    both = sets.select("class", "n", *columns).join(maybe_broadcast(asked, 2 * n_pairs, 40), "class").select("a", "b", "n", *columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             left, right = [], []
-            for a, b, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            for a, b, *values in zip(*(c.to_pylist() for c in batch.columns)):
                 if held is None or held[:2] != (a, b):
-                    held = (a, b, n, raw)
+                    held = (a, b, values)
                     continue
                 other, held = held, None
-                if test(n, raw, other[2], other[3]):
+                if test(values, other[2]):
                     left.append(a)
                     right.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
@@ -206,28 +241,33 @@ def _tested(pairs: DataFrame, n_pairs: int, sets: DataFrame, column: str, test)
     return both.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, ranks, percent: int) -> DataFrame:
+def prefixes_meet(x: bytes, y: bytes) -> bool:
+    """Whether two sets' marks share a token under the second order and one under the third."""
+    a, b = (np.frombuffer(v, np.uint32).reshape(2, -1) for v in (x, y))
+    return all(len(np.intersect1d(a[o], b[o])) for o in range(2))
+
+
+def _verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, percent: int) -> DataFrame:
     """Of the candidate pairs (a, b), those that are linked.
 
-    Wide sketches, a fraction of the sets' size, rule out most pairs before whole sets move.
+    The other orders' prefixes and wide sketches, a fraction of the sets' size, rule out most
+    pairs before whole sets move.
     """
 
-    def near(n: int, x: bytes, m: int, y: bytes) -> bool:
-        return (100 + percent) * sketch_distance(x, y) <= (100 - percent) * (n + m)
+    def near(x: list, y: list) -> bool:
+        (n, marks, wide), (m, other_marks, other_wide) = x, y
+        return prefixes_meet(marks, other_marks) and (100 + percent) * sketch_distance(wide, other_wide) <= (100 - percent) * (n + m)
 
-    def equal_enough(n: int, x: bytes, m: int, y: bytes) -> bool:
-        x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-        for order in range(1, len(ORDERS)):
-            if not len(np.intersect1d(token_prefix(x, ranks.value, order, percent), token_prefix(y, ranks.value, order, percent), True)):
-                return False
-        return linked(len(np.intersect1d(x, y, assume_unique=True)), n, m, percent)
+    def equal_enough(x: list, y: list) -> bool:
+        a, b = np.frombuffer(x[1], dtype=np.uint64), np.frombuffer(y[1], dtype=np.uint64)
+        return linked(len(np.intersect1d(a, b, assume_unique=True)), x[0], y[0], percent)
 
-    close = written(_tested(pairs, n_pairs, sets, "wide", near), "ngram-close")
-    return _tested(close, close.count(), sets, "tokens", equal_enough)
+    close = written(_tested(pairs, n_pairs, sets, ["marks", "wide"], near), "ngram-close")
+    return _tested(close, close.count(), sets, ["tokens"], equal_enough)
 
 
 def _paired(percent: int):
-    """A function over rows (token, lo, hi, own, class, comp, n, parity), sorted by the first three, that makes candidate pairs."""
+    """A function over rows (token, lo, hi, own, class, comp, n, parity), sorted by the first three (token: the group's key), that makes candidate pairs."""
 
     def pairs_of(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         token, lo, hi, own, cls, comp, n = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "own", "class", "comp", "n"))
@@ -275,73 +315,107 @@ def _paired(percent: int):
     return run
 
 
-def _candidates(shared: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _split(groups: DataFrame, sets: DataFrame, order: int) -> DataFrame:
+    """Groups (token, class, comp, n) split by the classes' prefix tokens under another order: a pair must share one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            token, cls, comp, n = (batch.column(i).to_numpy() for i in range(4))
+            marks = [np.frombuffer(x, np.uint32).reshape(2, -1)[order - 1] for x in batch.column(4).to_pylist()]
+            for begin in range(0, len(marks), 256):
+                part = marks[begin : begin + 256]
+                if not part:
+                    continue
+                at = np.repeat(np.arange(begin, begin + len(part)), [len(x) for x in part])
+                key = mix(token[at].view(np.uint64) + mix(np.concatenate(part).astype(np.uint64))).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(cls[at]), pa.array(comp[at]), pa.array(n[at])], ["token", "class", "comp", "n"])
+
+    with_marks = groups.join(sets.select("class", "marks"), "class").select("token", "class", "comp", "n", "marks")
+    # Two tokens of a class may fall in one cell of 32 bits.
+    return with_marks.mapInArrow(run, "token long, class long, comp long, n int").distinct()
+
+
+def _by_size(groups: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Of the groups whose classes are not all connected: (token, class, comp, n, blocks) of those up to `block` classes, and of the larger."""
+    sizes = groups.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"))
+    sizes = written(sizes.filter("low != high").select("token", F.ceil(F.col("rows") / block).cast("int").alias("blocks")), "ngram-groups")
+    found = groups.join(maybe_broadcast(sizes, sizes.count(), 16), "token")
+    return found.filter("blocks = 1"), found.filter("blocks > 1")
+
+
+def _candidates(shared: DataFrame, links: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
     """(a, b): classes of different components that share a token and that sizes and sketches allow."""
     first = written(connected_components(links).select(F.col("node").alias("class"), "root"), "ngram-roots")
-    own = shared.select("token", "class", "n").join(maybe_broadcast(first, first.count(), 32), "class", "left").withColumn("comp", F.coalesce("root", "class"))
-    by_token = Window.partitionBy("token")
-    mixed = own.withColumns({"low": F.min("comp").over(by_token), "high": F.max("comp").over(by_token), "rows": F.count("*").over(by_token)})
-    mixed = mixed.filter("low != high").select("token", "class", "n", "comp", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+    groups = shared.select("token", "class", "n").join(maybe_broadcast(first, first.count(), 32), "class", "left")
+    groups = written(groups.select("token", "class", F.coalesce("root", "class").alias("comp"), "n"), "ngram-own")
+    few, many = _by_size(groups, block)
+    few = [few]
+    for order in (1, 2):
+        many = written(many, "ngram-many")
+        if many.isEmpty():
+            break
+        split, many = _by_size(written(_split(many.select("token", "class", "comp", "n"), sets, order), "ngram-split"), block)
+        few.append(split)
     n_sets, row_bytes = sets.count(), 32 + PARITY_BITS // 8
     parity = maybe_broadcast(sets.select("class", "parity"), n_sets, row_bytes)
-    columns = ["token", "lo", "hi", "own", "class", "comp", "n", "parity"]
-    zero = F.lit(0)
-    few = mixed.filter("blocks = 1").select("token", zero.alias("lo"), zero.alias("hi"), zero.alias("own"), "class", "comp", "n").join(parity, "class").select(columns)
-    if n_sets * row_bytes > BROADCAST_BYTES:  # the join has dealt the rows out by class
-        few = few.repartition("token")
-    # Otherwise they still lie as the window dealt them: all rows of a token in one partition.
-    many = mixed.filter("blocks > 1").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(parity, "class")
-    many = many.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).select(columns).repartition("token", "lo", "hi")
-    schema = "a long, partners array<long>"
-    found = few.sortWithinPartitions("token").mapInArrow(_paired(percent), schema).unionByName(many.sortWithinPartitions("token", "lo", "hi").mapInArrow(_paired(percent), schema))
-    # A pair that shares many tokens comes from many tasks: partners are merged before they become rows.
-    merged = found.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
-    return merged.select("a", F.explode("partners").alias("b"))
-
-
-def class_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(signatures: rid, doc_id, n, class; components: node, root over the classes that have a link)."""
+    columns, zero = ["token", "lo", "hi", "own", "class", "comp", "n", "parity"], F.lit(0)
+    parts = [x.select("token", zero.alias("lo"), zero.alias("hi"), zero.alias("own"), "class", "comp", "n") for x in few]
+    # What all three orders leave together is compared block by block.
+    left = many.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    parts.append(left.select("token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "comp", "n"))
+    rows = parts[0]
+    for x in parts[1:]:
+        rows = rows.unionByName(x)
+    rows = rows.join(parity, "class").select(columns).repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    found = rows.mapInArrow(_paired(percent), "a long, partners array<long>")
+    # A pair that shares many tokens comes from many tasks.
+    return found.select("a", F.explode("partners").alias("b")).distinct()
+
+
+def class_components(docs: DataFrame, k: int = K, percent: int = PERCENT, block: int = BLOCK, hot: int = HOT_TOKEN) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signatures: rid, doc_id, n, class; classes: class, its smallest rid, doc_id and (doc_id, rid); components: node, root over the classes that have a link)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     all_rows = written(_signatures(docs, k), "ngram-signatures")
     signatures = all_rows.filter("slice is null").select("rid", "doc_id", "n", "class")
-    ranks = spark.sparkContext.broadcast(_token_ranks(all_rows))  # 2^SKETCH_BITS bytes, whatever the corpus
-    of_token = Window.partitionBy("token").orderBy("class").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shared = _prefixes(docs, ranks, k, percent).withColumns(
-        {"leader": F.first("class").over(of_token), "leader_n": F.first("n").over(of_token), "last": F.last("class").over(of_token)}
-    )
-    shared = written(shared.filter("leader != last").drop("last"), "ngram-shared")
-    sets = _sets(docs, signatures, shared.select("class"), k)
+    # Copies meet here, after a partial count per task; from now on a text is one row.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
+    classes = signatures.filter("class is not null").groupBy("class").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("doc_id"), F.min(order).alias("first"))
+    classes = written(classes, "ngram-classes")
+    table, mean = _token_ranks(all_rows)
+    ranks = spark.sparkContext.broadcast(table)  # 2^SKETCH_BITS bytes, whatever the corpus
+    shared = _shared(_prefixes(docs, ranks, mean, k, percent, hot))
+    sets = _sets(docs, classes, shared.select("class"), ranks, k, percent)
     fits = 100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")
     star = written(shared.filter((F.col("class") != F.col("leader")) & fits).select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct(), "ngram-stars")
-    links = written(_verified(star, star.count(), sets, ranks, percent), "ngram-links")
-    rest = written(_candidates(shared, links, sets, percent), "ngram-rest")
-    links = links.unionByName(_verified(rest, rest.count(), sets, ranks, percent))
-    return signatures, connected_components(written(links, "ngram-links"))
+    links = written(_verified(star, star.count(), sets, percent), "ngram-links")
+    rest = written(_candidates(shared, links, sets, percent, block), "ngram-rest")
+    links = links.unionByName(_verified(rest, rest.count(), sets, percent))
+    return signatures, classes, connected_components(written(links, "ngram-links"))
 
 
-def _grouped(signatures: DataFrame, components: DataFrame) -> DataFrame:
-    """Every class with the smallest (doc_id, rid) of its component."""
-    classes = signatures.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"))
-    rooted = written(classes.join(components.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")), "ngram-classes")
+def _grouped(classes: DataFrame, components: DataFrame) -> DataFrame:
+    """Every class with the smallest doc_id and the first row of its component."""
+    rooted = written(classes.join(components.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")), "ngram-rooted")
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("first").alias("keeper"))
-    return rooted.select("class", "root").join(smallest, "root").select("class", "component_id", F.col("keeper.rid").alias("keeper"))
+    return written(rooted.select("class", "root").join(smallest, "root").select("class", "component_id", F.col("keeper.rid").alias("keeper")), "ngram-grouped")
 
 
-def ngram_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+def ngram_components(docs: DataFrame, k: int = K, percent: int = PERCENT, **options) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    signatures, components = class_components(docs, k, percent)
-    joined = signatures.join(_grouped(signatures, components), "class", "left")
+    signatures, classes, components = class_components(docs, k, percent, **options)
+    joined = signatures.join(_grouped(classes, components), "class", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def one_of_each_group(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+def one_of_each_group(docs: DataFrame, k: int = K, percent: int = PERCENT, **options) -> DataFrame:
     """The rows of docs less all but one of each group: the one with the smallest doc_id stays."""
-    signatures, components = class_components(docs, k, percent)
-    judged = signatures.join(_grouped(signatures, components), "class")
-    lost = written(judged.filter("rid != keeper").select(F.col("rid").alias("__ngram_rid")).distinct(), "ngram-lost")
-    again = judged.groupBy("rid").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("rid").alias("__ngram_rid"))
+    signatures, classes, components = class_components(docs, k, percent, **options)
+    judged = signatures.filter("class is not null").join(_grouped(classes, components), "class")
+    judged = written(judged.select("rid", (F.col("rid") == F.col("keeper")).alias("keeps")), "ngram-judged")
+    lost = written(judged.filter("NOT keeps").select(F.col("rid").alias("__ngram_rid")).distinct(), "ngram-lost")
+    again = judged.filter("keeps").groupBy("rid").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("rid").alias("__ngram_rid"))
     again = written(again, "ngram-again")
     keyed = docs.withColumn("__ngram_rid", F.xxhash64("doc_id", "text"))
     kept = keyed.join(maybe_broadcast(lost, lost.count(), 16), "__ngram_rid", "left_anti")

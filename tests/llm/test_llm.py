@@ -371,6 +371,44 @@ def test_components_match_brute_force(spark, small, odd):
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == components_of(rows)
 
 
+def test_components_by_every_path(spark, monkeypatch):
+    """Groups of more classes than a block, salted tokens and joins that shuffle give the same components."""
+    from sparkloom.llm import common
+
+    r = random.Random(12)
+    common_part = [f"c{i}" for i in range(60)]
+    rows = []
+    for i in range(150):  # near copies of one text, and texts that share a third of it
+        own = [f"o{i}x{j}" for j in range(3 + i % 5 if i % 3 else 40)]
+        at = r.randrange(len(common_part))
+        rows.append((i, " ".join(common_part[:at] + own + common_part[at:])))
+    rows += [(1000 + i, "same words again and again here") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for options in ({"block": 8, "hot": 1}, {"block": 2, "hot": 20}):
+            got = ngram_join.ngram_components(docs, **options).collect()
+            assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == components_of(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_every_order_decides():
+    """A pair that shares prefix tokens under one order only is no candidate."""
+    r = np.random.default_rng(4)
+    ranks = np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8)
+    marks = lambda x: b"".join((shingles.mix(ngram_join.token_prefix(x, ranks, o, 80)) >> np.uint64(32)).astype(np.uint32).tobytes() for o in (1, 2))
+    met = [0, 0, 0]
+    for _ in range(200):
+        x, y = (np.unique(r.integers(0, 2**63, 200, dtype=np.uint64)) for _ in range(2))
+        y[:6] = x[:6]
+        shared = [len(np.intersect1d(ngram_join.token_prefix(x, ranks, o, 80), ngram_join.token_prefix(y, ranks, o, 80))) > 0 for o in range(3)]
+        assert ngram_join.prefixes_meet(marks(x), marks(y)) == (shared[1] and shared[2])
+        met = [a + b for a, b in zip(met, shared)]
+    assert all(50 < m < 190 for m in met)
+
+
 def test_one_of_each_group_stays(odd):
     got = sorted((r.doc_id for r in ngram_join.one_of_each_group(odd).collect()), key=lambda x: (x is None, x))
     assert got == [1, 4, 5, 6, 7, 9, 10, 11, 12, None, None]
