@@ -19,8 +19,8 @@ tokens, and a candidate must share prefix tokens under all three.
      of different components are paired if their sizes allow it and their 512-bit parity
      sketches do not rule it out (the distance of two sketches is at most the number of
      tokens that the sets do not share).  The classes of a token with more than `BLOCK` are
-     split by the tokens of their second prefix, and where that leaves more than `BLOCK`
-     again by the third: a pair that shares no token of one of them is never formed.
+     split in blocks; its largest component's classes are never paired with each other, so
+     a group of near copies costs rows in proportion to its size.
   4. A candidate's prefixes under the second and third order are intersected, then wider
      parity sketches compared; only then do whole sets move, and what passed is verified.
   5. Components over all links found.
@@ -148,11 +148,12 @@ def _token_ranks(signatures: DataFrame) -> tuple[np.ndarray, float]:
 
 
 def _prefixes(docs: DataFrame, ranks, mean: float, k: int, percent: int, hot: int) -> DataFrame:
-    """(token, salt, salts, class, n) for the first order's prefixes; a task names each class once.
+    """(token, salt, class, n) for the first order's prefixes; a task names each class once.
 
-    A token that may occur more than `hot` times has its classes dealt over so many salts.
+    A token that may occur more than `hot` times has its classes dealt over salts from 1 on; other tokens have salt 0.
     """
     salts = np.clip(np.ceil(mean * 2.0 ** (np.arange(256) / 4) / hot), 1, 1 << 20).astype(np.int32)
+    none_hot = salts[ranks.value.max()] == 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -168,22 +169,24 @@ def _prefixes(docs: DataFrame, ranks, mean: float, k: int, percent: int, hot: in
                     sizes.append(np.full(len(tokens[-1]), b - a, dtype=np.int32))
                 if tokens:
                     token, cls = np.concatenate(tokens), np.concatenate(classes)
-                    many = salts[ranks.value[(token >> U64(64 - SKETCH_BITS)).astype(np.int64)]]
-                    salt = (mix(cls.view(np.uint64)) % many.astype(np.uint64)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(salt), pa.array(many), pa.array(cls), pa.array(np.concatenate(sizes))], ["token", "salt", "salts", "class", "n"])
+                    salt = np.zeros(len(token), np.int32)
+                    if not none_hot:
+                        many = salts[ranks.value[(token >> U64(64 - SKETCH_BITS)).astype(np.int64)]]
+                        salt = np.where(many > 1, mix(cls.view(np.uint64)) % many.astype(np.uint64) + U64(1), U64(0)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(salt), pa.array(cls), pa.array(np.concatenate(sizes))], ["token", "salt", "class", "n"])
                 if len(seen) > 1_000_000:
                     seen.clear()
 
-    return docs.select("text").mapInArrow(run, "token long, salt int, salts int, class long, n int")
+    return docs.select("text").mapInArrow(run, "token long, salt int, class long, n int")
 
 
 def _shared(prefixes: DataFrame) -> DataFrame:
     """(token, class, n, leader, leader_n): the prefix rows of tokens that more than one class has, with the token's smallest class."""
     of_token = Window.partitionBy("token", "salt").orderBy("class").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     led = prefixes.withColumns({"leader": F.first("class").over(of_token), "leader_n": F.first("n").over(of_token), "last": F.last("class").over(of_token)})
-    led = written(led.filter("leader != last OR salts > 1").distinct(), "ngram-led")
+    led = written(led.filter("leader != last OR salt > 0"), "ngram-led")
     names = ["token", "class", "n", "leader", "leader_n"]
-    cold, hot = led.filter("salts = 1").select(names), led.filter("salts > 1")
+    cold, hot = led.filter("salt = 0").select(names), led.filter("salt > 0")
     if hot.isEmpty():
         return cold
     # Salted tokens: their leaders come from one row per token and salt; Spark splits a skewed side of the join.
@@ -195,13 +198,14 @@ def _shared(prefixes: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, ranks, k: int, percent: int) -> DataFrame:
     """(class, n, tokens, parity, marks, wide) of the wanted classes, from one document of each.
 
-    marks: the prefixes under the second and the third order, in 32 bits a token.
+    marks: the prefixes under the second and the third order, in 16 bits a token (tokens that
+    fall together make a pair pass, never fail).
     """
     one = written(classes.join(wanted.distinct(), "class", "left_semi").select("rid").distinct(), "ngram-reps")
     found = _keyed(docs).join(maybe_broadcast(one, one.count(), 16), "rid", "left_semi")
 
     def marks(x: np.ndarray) -> bytes:
-        return b"".join((mix(token_prefix(x, ranks.value, o, percent)) >> U64(32)).astype(np.uint32).tobytes() for o in (1, 2))
+        return b"".join((mix(token_prefix(x, ranks.value, o, percent)) >> U64(48)).astype(np.uint16).tobytes() for o in (1, 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,7 +247,7 @@ def _tested(pairs: DataFrame, n_pairs: int, sets: DataFrame, columns: list[str],
 
 def prefixes_meet(x: bytes, y: bytes) -> bool:
     """Whether two sets' marks share a token under the second order and one under the third."""
-    a, b = (np.frombuffer(v, np.uint32).reshape(2, -1) for v in (x, y))
+    a, b = (np.frombuffer(v, np.uint16).reshape(2, -1) for v in (x, y))
     return all(len(np.intersect1d(a[o], b[o])) for o in range(2))
 
 
@@ -315,62 +319,34 @@ def _paired(percent: int):
     return run
 
 
-def _split(groups: DataFrame, sets: DataFrame, order: int) -> DataFrame:
-    """Groups (token, class, comp, n) split by the classes' prefix tokens under another order: a pair must share one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            token, cls, comp, n = (batch.column(i).to_numpy() for i in range(4))
-            marks = [np.frombuffer(x, np.uint32).reshape(2, -1)[order - 1] for x in batch.column(4).to_pylist()]
-            for begin in range(0, len(marks), 256):
-                part = marks[begin : begin + 256]
-                if not part:
-                    continue
-                at = np.repeat(np.arange(begin, begin + len(part)), [len(x) for x in part])
-                key = mix(token[at].view(np.uint64) + mix(np.concatenate(part).astype(np.uint64))).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(cls[at]), pa.array(comp[at]), pa.array(n[at])], ["token", "class", "comp", "n"])
-
-    with_marks = groups.join(sets.select("class", "marks"), "class").select("token", "class", "comp", "n", "marks")
-    # Two tokens of a class may fall in one cell of 32 bits.
-    return with_marks.mapInArrow(run, "token long, class long, comp long, n int").distinct()
-
-
-def _by_size(groups: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
-    """Of the groups whose classes are not all connected: (token, class, comp, n, blocks) of those up to `block` classes, and of the larger."""
-    sizes = groups.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"))
-    sizes = written(sizes.filter("low != high").select("token", F.ceil(F.col("rows") / block).cast("int").alias("blocks")), "ngram-groups")
-    found = groups.join(maybe_broadcast(sizes, sizes.count(), 16), "token")
-    return found.filter("blocks = 1"), found.filter("blocks > 1")
-
-
 def _candidates(shared: DataFrame, links: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
     """(a, b): classes of different components that share a token and that sizes and sketches allow."""
     first = written(connected_components(links).select(F.col("node").alias("class"), "root"), "ngram-roots")
     groups = shared.select("token", "class", "n").join(maybe_broadcast(first, first.count(), 32), "class", "left")
-    groups = written(groups.select("token", "class", F.coalesce("root", "class").alias("comp"), "n"), "ngram-own")
-    few, many = _by_size(groups, block)
-    few = [few]
-    for order in (1, 2):
-        many = written(many, "ngram-many")
-        if many.isEmpty():
-            break
-        split, many = _by_size(written(_split(many.select("token", "class", "comp", "n"), sets, order), "ngram-split"), block)
-        few.append(split)
+    groups = groups.select("token", "class", F.coalesce("root", "class").alias("comp"), "n")
+    sizes = groups.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"))
+    sizes = written(sizes.filter("low != high").select("token", "rows"), "ngram-groups")
+    open_groups = written(groups.join(maybe_broadcast(sizes, sizes.count(), 16), "token"), "ngram-own")
+    zero = F.lit(0)
+    few = open_groups.filter(F.col("rows") <= block).select("token", zero.alias("lo"), zero.alias("hi"), zero.alias("own"), "class", "comp", "n")
+    # Larger groups: their largest component goes to blocks of its own, which never meet each other.
+    many = open_groups.filter(F.col("rows") > block)
+    comps = many.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.max(F.struct("c", "comp")).alias("major"), F.sum("c").alias("rows"))
+    blocks = lambda c: F.ceil(c / block).cast("int")
+    comps = comps.select("token", F.col("major.comp").alias("major"), blocks(F.col("major.c")).alias("majors"), blocks(F.col("rows") - F.col("major.c")).alias("minors"))
+    many = many.drop("rows").join(comps, "token")
+    place, is_major = F.xxhash64("class"), F.col("comp") == F.col("major")
+    many = many.withColumn("own", F.when(is_major, F.pmod(place, F.col("majors"))).otherwise(F.col("majors") + F.pmod(place, F.col("minors"))).cast("int"))
+    many = many.withColumn("other", F.explode(F.sequence(F.when(is_major, F.col("majors")).otherwise(zero), F.col("majors") + F.col("minors") - 1)))
+    many = many.select("token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "comp", "n")
     n_sets, row_bytes = sets.count(), 32 + PARITY_BITS // 8
     parity = maybe_broadcast(sets.select("class", "parity"), n_sets, row_bytes)
-    columns, zero = ["token", "lo", "hi", "own", "class", "comp", "n", "parity"], F.lit(0)
-    parts = [x.select("token", zero.alias("lo"), zero.alias("hi"), zero.alias("own"), "class", "comp", "n") for x in few]
-    # What all three orders leave together is compared block by block.
-    left = many.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    parts.append(left.select("token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "comp", "n"))
-    rows = parts[0]
-    for x in parts[1:]:
-        rows = rows.unionByName(x)
-    rows = rows.join(parity, "class").select(columns).repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    columns = ["token", "lo", "hi", "own", "class", "comp", "n", "parity"]
+    rows = few.unionByName(many).join(parity, "class").select(columns).repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
     found = rows.mapInArrow(_paired(percent), "a long, partners array<long>")
-    # A pair that shares many tokens comes from many tasks.
-    return found.select("a", F.explode("partners").alias("b")).distinct()
+    # A pair that shares many tokens comes from many tasks: partners are merged before they become rows.
+    merged = found.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
+    return merged.select("a", F.explode("partners").alias("b"))
 
 
 def class_components(docs: DataFrame, k: int = K, percent: int = PERCENT, block: int = BLOCK, hot: int = HOT_TOKEN) -> tuple[DataFrame, DataFrame, DataFrame]:

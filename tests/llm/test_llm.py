@@ -398,15 +398,16 @@ def test_every_order_decides():
     """A pair that shares prefix tokens under one order only is no candidate."""
     r = np.random.default_rng(4)
     ranks = np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8)
-    marks = lambda x: b"".join((shingles.mix(ngram_join.token_prefix(x, ranks, o, 80)) >> np.uint64(32)).astype(np.uint32).tobytes() for o in (1, 2))
-    met = [0, 0, 0]
+    marks = lambda x: b"".join((shingles.mix(ngram_join.token_prefix(x, ranks, o, 80)) >> np.uint64(48)).astype(np.uint16).tobytes() for o in (1, 2))
+    met = [0, 0, 0, 0]
     for _ in range(200):
         x, y = (np.unique(r.integers(0, 2**63, 200, dtype=np.uint64)) for _ in range(2))
         y[:6] = x[:6]
         shared = [len(np.intersect1d(ngram_join.token_prefix(x, ranks, o, 80), ngram_join.token_prefix(y, ranks, o, 80))) > 0 for o in range(3)]
-        assert ngram_join.prefixes_meet(marks(x), marks(y)) == (shared[1] and shared[2])
-        met = [a + b for a, b in zip(met, shared)]
-    assert all(50 < m < 190 for m in met)
+        passed = ngram_join.prefixes_meet(marks(x), marks(y))
+        assert passed or not (shared[1] and shared[2])
+        met = [a + b for a, b in zip(met, (*shared, passed))]
+    assert all(30 < m < 195 for m in met) and met[3] < met[2]
 
 
 def test_one_of_each_group_stays(odd):
