@@ -9,15 +9,18 @@ document is contaminated by an item when a hit has at least `enough` equal words
 it, or `share` of all the item's words.
 
 Documents outnumber the benchmark's seeds by far, so their windows are first tested
-against a bitmap of the benchmark's hashes (its size follows the benchmark, up to a bound;
-a fuller bitmap only lets more windows through).  Windows that pass leave the text with a
-slice of words around them, and only those rows are joined.
+against a bitmap of the benchmark's hashes, two bits a hash, whose size follows the
+benchmark: 64 bits a seed up to `MAX_BITMAP_BITS` (beyond a million seeds it fills up, which
+lets more windows through and loses none).  Windows that pass leave the text with a slice of
+words around them, and only those rows are joined.
 
 The masks leave no accepted passage out that is aligned with an item of up to 25 words:
 however the replaced words lie, some window of the item has all its kept words.  That was
 found by enumerating all patterns, with shorter masks for items under `SPAN` words.  Among
 longer items a pattern of scattered words may have no such window, the rarer the more of
-its words are equal.  Items under `MIN_ITEM` words say too little and match nothing.
+its words are equal.  Items of 3 or 4 words must be there in full, word by word.  Items of
+fewer words say nothing about where a document comes from: no document is reported for them,
+and `unscreened` lists them.
 
 Edge cases: null or empty texts on either side match nothing; rows that repeat a doc_id
 are reported once per item, and filtered row by row; items that repeat an item_id are
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +41,12 @@ from .common import maybe_broadcast, text_or_empty, written
 MASKS = ("11101", "1101001", "11000101", "1000100101", "10000001101")
 SHORT_MASKS = ("111", "1101")
 SPAN = 12
-MIN_ITEM = 5
+#: Items of fewer words are not screened for; up to SHORTEST_SHARE words all must be equal.
+MIN_ITEM, SHORTEST_SHARE = 3, 4
 #: Words compared on either side of a hit's window.
 REACH = 20
 ENOUGH, SHARE_PERCENT = 15, 75
-MAX_BITMAP_BITS = 1 << 21
+BITS_PER_SEED, MAX_BITMAP_BITS = 64, 1 << 26
 WORDS = r"([\p{L}\p{N}]+)"
 
 
@@ -73,19 +78,39 @@ def _seeds(items: DataFrame, masks: list[str]) -> DataFrame:
     return out
 
 
-def _bitmap(seeds: DataFrame, n: int) -> Callable[[str], str]:
-    """The SQL test whether a hash may be among the n seeds; never false for one that is."""
+def unscreened(benchmark: DataFrame) -> DataFrame:
+    """(item_id, item_words): the items that are too short to be screened for."""
+    items = benchmark.select("item_id", F.size(_words(text_or_empty())).cast("long").alias("item_words"))
+    return items.filter(F.col("item_words") < MIN_ITEM)
+
+
+def _bitmap(seeds: DataFrame, n: int) -> Callable[[Column], Column]:
+    """The test whether a hash may be among the n seeds; never false for one that is."""
     bits = 1 << 12
-    while bits < min(64 * n, MAX_BITMAP_BITS):
+    while bits < min(BITS_PER_SEED * n, MAX_BITMAP_BITS):
         bits *= 2
-    slot = F.col("seed").bitwiseAND(F.lit(bits - 1))
-    cells = seeds.groupBy(F.shiftright(slot, 6).alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(seed & 63 AS int)))").alias("bits")).collect()  # at most MAX_BITMAP_BITS / 64 rows
-    filled = [0] * (bits // 64)
-    for c in cells:
-        filled[c.cell] = c.bits
-    # A constant array, folded once; each test is a shift and a mask.
-    bitmap = f"cast(split('{','.join(map(str, filled))}', ',') AS array<bigint>)"
-    return lambda s: f"(shiftright(get({bitmap}, cast(shiftright({s} & {bits - 1}, 6) AS int)), cast({s} & 63 AS int)) & 1) = 1"
+    # Two bits a hash: from its low and from its high half.
+    slots = lambda s: (s.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(s, 32).bitwiseAND(F.lit(bits - 1)))
+    cells = seeds.select(F.explode(F.array(*slots(F.col("seed")))).alias("slot")).groupBy(F.shiftright("slot", 6).cast("int").alias("cell"))
+    cells = cells.agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 AS int)))").alias("bits"))
+    # At most MAX_BITMAP_BITS / 64 cells, as text: a row for 1,024 of them.
+    pages = cells.groupBy(F.shiftright("cell", 10)).agg(F.array_join(F.collect_list(F.concat_ws(",", "cell", "bits")), ",").alias("cells"))
+    filled = np.zeros(bits // 64, dtype=">i8")
+    for page in pages.toLocalIterator():
+        pairs = np.array(page.cells.split(","), dtype=np.int64).reshape(-1, 2)
+        filled[pairs[:, 0]] = pairs[:, 1]
+    # A constant array of longs; each test is a shift and a mask.
+    sc = seeds.sparkSession.sparkContext
+    longs = sc._gateway.new_array(sc._jvm.long, len(filled))
+    sc._jvm.java.nio.ByteBuffer.wrap(filled.tobytes()).asLongBuffer().get(longs)
+    bitmap = Column(sc._jvm.org.apache.spark.sql.functions.lit(longs))
+
+    def may_be(s: Column) -> Column:
+        bit = lambda x: F.call_function("shiftright", F.get(bitmap, F.shiftright(x, 6).cast("int")), x.bitwiseAND(F.lit(63)).cast("int"))
+        low, high = (bit(x).bitwiseAND(F.lit(1).cast("long")) == 1 for x in slots(s))
+        return low & high
+
+    return may_be
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, enough: int = ENOUGH, share_percent: int = SHARE_PERCENT) -> DataFrame:
@@ -93,33 +118,38 @@ def hits(docs: DataFrame, benchmark: DataFrame, enough: int = ENOUGH, share_perc
     items = written(_items(benchmark), "benchmark-items")
     masks = [*MASKS, *(() if items.filter(F.size("words") < SPAN).isEmpty() else SHORT_MASKS)]
     seeds = written(_seeds(items, masks), "benchmark-seeds")
-    n_items, n_seeds = items.count(), seeds.count()
+    n_items, n_seeds, n_bytes = items.count(), seeds.count(), items.agg(F.sum(F.expr("aggregate(words, 64L, (n, w) -> n + 40 + octet_length(w))"))).first()[0] or 0
     seen = _bitmap(seeds.select("seed"), n_seeds)
     vocabulary = items.select(F.explode("words").alias("w")).select(F.xxhash64("w").alias("seed")).distinct()
-    known = _bitmap(vocabulary, vocabulary.count())("get(h, i)")
+    known = _bitmap(vocabulary, vocabulary.count())
 
-    def passes(mask: str) -> str:
-        return f"exists(array({_hash('h', 'i', mask)}), s -> {seen('s')})"
+    def passes(i: Column) -> Column:
+        """All masks keep their first word: a window starts at a word of the benchmark or meets no seed."""
+        found = F.lit(False)
+        for m in masks:
+            kept = F.xxhash64(*[F.get(F.col("h"), (i + at).cast("int")) for at, c in enumerate(m) if c == "1"])
+            found = found | ((i <= F.size("h") - len(m)) & F.exists(F.array(kept), seen))
+        return known(F.get(F.col("h"), i)) & found
 
     # The row number is there for the optimizer: a filter on the exploded windows may not
     # move below it, where it would compute the hashes of a whole text for every window.
     w = docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64("doc_id", "text").alias("rid"), "doc_id", _words(text_or_empty()).alias("words"))
     w = w.withColumn("h", F.expr("transform(words, w -> xxhash64(w))"))
     shortest = min(map(len, masks))
-    # All masks keep their first word: a window starts at a word of the benchmark or meets no seed.
-    found = " OR ".join(f"(i <= size(h) - {len(m)} AND {passes(m)})" for m in masks)
-    w = w.withColumn("at", F.expr(f"CASE WHEN size(h) < {shortest} THEN cast(array() AS array<int>) ELSE filter(sequence(0, size(h) - {shortest}), i -> {known} AND ({found})) END"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("h") - shortest, F.lit(0)))
+    w = w.withColumn("at", F.when(F.size("h") < shortest, F.expr("cast(array() AS array<int>)")).otherwise(F.filter(starts, passes)))
     # A slice of at most SPAN + 2 REACH words leaves the text with each window.
     w = w.select("row", "rid", "doc_id", F.explode(F.expr(f"""transform(at, i -> struct(i,
         least(i, {REACH}) AS lead, slice(words, greatest(i - {REACH}, 0) + 1, {SPAN + REACH} + least(i, {REACH})) AS near,
         array({', '.join(_hash('h', 'i', m) for m in masks)}) AS seeds))""")).alias("c"))
     w = w.filter("row >= 0").select("rid", "doc_id", "c.lead", "c.near", F.posexplode("c.seeds").alias("mask", "seed"))
     hit = w.join(maybe_broadcast(seeds, n_seeds, 64), ["mask", "seed"])
-    hit = hit.join(maybe_broadcast(items, n_items, 4096), "key")
+    hit = hit.join(maybe_broadcast(items, 1, n_bytes + 64 * n_items), "key")
     matched = F.expr(f"""size(filter(sequence(-{REACH}, {SPAN + REACH - 1}),
         k -> k + lead >= 0 AND k + p >= 0 AND coalesce(get(near, k + lead) = get(words, k + p), false)))""")
     hit = hit.select("rid", "doc_id", "item_id", "key", F.size("words").alias("item_words"), matched.alias("matched"))
-    return hit.filter((F.col("matched") >= enough) | (100 * F.col("matched") >= share_percent * F.col("item_words")))
+    share = F.when(F.col("item_words") <= SHORTEST_SHARE, 100).otherwise(share_percent)
+    return hit.filter((F.col("matched") >= enough) | (100 * F.col("matched") >= share * F.col("item_words")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -137,22 +167,15 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFra
     return keyed.join(maybe_broadcast(lost, lost.count(), 16), "__clean_rid", "left_anti").select(*docs.columns)
 
 
-#: The same with fewer seeds in DuckDB's SQL, over the tables documents and benchmark: its rows are among the operator's.
+#: Brute force in DuckDB's SQL, over the tables documents and benchmark: all words of both sides that are
+#: equal, counted by alignment.  The same wherever items have up to 25 words, and over longer ones whose
+#: equal words are not scattered; a hit reaches over 52 words at most.
 DECONTAMINATE_SQL = r"""
-WITH m AS (SELECT * FROM (VALUES (0, [0, 1, 2, 4, 5, 8, 10, 11]), (1, [0, 1, 3, 6, 7, 9, 10, 11])) AS v(mask, kept)),
-b AS (SELECT item_id, words FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words FROM benchmark) WHERE len(words) >= 5),
-d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words FROM documents),
-bw AS (SELECT item_id, words, unnest(range(0, len(words) - 11)) AS p FROM b WHERE len(words) >= 12),
-dw AS (SELECT doc_id, words, unnest(range(0, len(words) - 11)) AS i FROM d WHERE len(words) >= 12),
-bs AS (SELECT item_id, p, mask, list_transform(kept, lambda k: words[p + k + 1]) AS seed FROM bw, m
-       UNION ALL SELECT item_id, 0, 100 + len(words), words FROM b WHERE len(words) < 12),
-ds AS (SELECT doc_id, i, mask, list_transform(kept, lambda k: words[i + k + 1]) AS seed FROM dw, m
-       UNION ALL SELECT doc_id, i, 100 + n, words[i + 1 : i + n] FROM (
-         SELECT doc_id, words, n, unnest(range(0, len(words) - n + 1)) AS i FROM d, (SELECT DISTINCT len(words) AS n FROM b WHERE len(words) < 12) WHERE len(words) >= n)),
-h AS (SELECT DISTINCT doc_id, item_id, i, p FROM ds JOIN bs USING (mask, seed)),
-c AS (SELECT h.doc_id, h.item_id, len(b.words) AS item_words,
-        (SELECT count(*) FROM (SELECT unnest(range(-20, 32)) AS k) WHERE i + k >= 0 AND p + k >= 0 AND d.words[i + k + 1] = b.words[p + k + 1]) AS matched
-      FROM h JOIN b USING (item_id) JOIN d USING (doc_id))
-SELECT doc_id, item_id, max(item_words) AS item_words, max(matched) AS matched
-FROM c WHERE matched >= 15 OR 100 * matched >= 75 * item_words GROUP BY ALL
+WITH b AS (SELECT DISTINCT item_id, words, len(words) AS n FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words FROM benchmark) WHERE len(words) >= 3),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words FROM documents),
+bw AS (SELECT item_id, n, unnest(words) AS w, unnest(range(0, n)) AS p FROM b),
+dw AS (SELECT rid, doc_id, unnest(words) AS w, unnest(range(0, len(words))) AS i FROM d),
+a AS (SELECT rid, doc_id, item_id, n, i - p AS shift, count(*) AS matched FROM dw JOIN bw USING (w) GROUP BY ALL)
+SELECT doc_id, item_id, max(n) AS item_words, least(max(matched), 52) AS matched
+FROM a WHERE matched >= 15 OR 100 * matched >= (CASE WHEN n <= 4 THEN 100 ELSE 75 END) * n GROUP BY ALL
 """

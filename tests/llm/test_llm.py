@@ -611,6 +611,28 @@ def test_substituted_passages_are_found(spark):
     assert sorted(x.doc_id for x in decontaminate.clean_documents(docs, bench).collect()) == [3, 5, 6]
 
 
+def test_short_items_and_odd_rows(spark):
+    rows = [(1, "x three little words y"), (2, "three little big words"), (3, "one two"), (None, "so: THREE, little. words!"), (4, None), (5, "w " * 200_000 + "four tiny words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "three little words"), (1, "three little words"), (2, "one two"), (3, ""), (4, None), (5, "four tiny words here"), (6, "three little words")], "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()), key=str)
+    assert got == sorted([(1, 1, 3, 3), (1, 6, 3, 3), (None, 1, 3, 3), (None, 6, 3, 3), (5, 5, 4, 4)], key=str)
+    assert sorted(map(tuple, decontaminate.unscreened(bench).collect())) == [(2, 2), (3, 0), (4, 0)]
+
+
+def test_the_filter_grows_with_the_benchmark(spark, monkeypatch):
+    """5,000 items, and a bitmap that is far too small for them: the same hits."""
+    r = random.Random(3)
+    items = [[f"v{r.randrange(3000)}" for _ in range(20)] for _ in range(5_000)]
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    rows = [(i, " ".join([f"v{r.randrange(3000)}" for _ in range(40)] + (items[i * 23][:18] if i % 4 == 0 else []))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(i, i * 23) for i in range(0, 200, 4)}
+    assert {(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs, bench).collect()} == want
+    monkeypatch.setattr(decontaminate, "MAX_BITMAP_BITS", 1 << 17)
+    assert {(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs, bench).collect()} == want
+
+
 def test_every_accepted_pattern_is_found(spark):
     r = random.Random(8)
     items = {n: [f"w{n}x{i}" for i in range(n)] for n in range(5, 26)}
