@@ -29,6 +29,8 @@ from .common import written
 ROUNDS = 6
 #: Groups to a numbering bucket, so that no task sorts more than about this many.
 BUCKET_ROWS = 50_000
+#: Row numbers that one row of a group of copies becomes at once.
+COPY_RUN = 10_000
 
 
 class Feistel:
@@ -101,11 +103,15 @@ def number_rows(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFr
     w = Window.partitionBy("bucket").orderBy("doc_id", "text_crc32", "size")
     inside = F.coalesce(F.sum("copies").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     numbered = groups.withColumn("inside", inside).join(counts, "bucket")
-    first = F.col("base") + F.col("inside")
-    return (
-        numbered.select("doc_id", "size", "text_crc32", F.explode(F.sequence(first, first + F.col("copies") - 1)).alias("row_number")),
-        rows,
-    )
+    numbered = numbered.withColumn("first", F.col("base") + F.col("inside"))
+    names = ["doc_id", "size", "text_crc32"]
+    # Copies of a whole row become rows again run by run; long groups are dealt out before that.
+    few = numbered.filter(F.col("copies") <= COPY_RUN).select(*names, F.explode(F.sequence("first", F.col("first") + F.col("copies") - 1)).alias("row_number"))
+    many = numbered.filter(F.col("copies") > COPY_RUN)
+    runs = many.select(*names, F.explode(F.sequence("first", F.col("first") + F.col("copies") - 1, F.lit(COPY_RUN).cast("long"))).alias("begin"), (F.col("first") + F.col("copies")).alias("end"))
+    upto = F.least(F.col("begin") + COPY_RUN, F.col("end")) - 1
+    again = runs.repartition("begin").select(*names, F.explode(F.sequence("begin", upto)).alias("row_number"))
+    return few.unionByName(again), rows
 
 
 def feistel_shards(docs: DataFrame, n_shards: int = 24, seed: int = 0, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

@@ -6,8 +6,8 @@ address is the BLAKE2b digest of its bytes, and its bytes are stored once.
 
 The store is a folder of four Parquet tables:
 
-  chunks    digest, n, ids (little-endian, 2 bytes an id if the vocabulary allows, else 4;
-            null in every row of a digest but its first), refs (uid, doc_id, seq, before)
+  chunks    digest, n, ids (little-endian, 2 bytes an id if the vocabulary allows, else 4),
+            one row per digest
   recipes   in ascending doc_id order, file after file: part, doc_id, uid, n_tokens, root
             (Merkle root over the chunk digests), chunks (digest, n, before)
   manifest  part, n_docs, n_ids, root (Merkle root over the documents' roots, in order)
@@ -18,8 +18,10 @@ root against its recipe, every part's root and the head's.  A document's CRC32 c
 its chunks' CRCs, each computed from the stored bytes and shifted past the bytes that
 follow it; CRCs so shifted combine by exclusive or, so no payload moves when reading.
 
-Skew: each task merges the chunks it makes before the shuffle, so a chunk that all
-documents share arrives once per task.
+Skew: each task merges the chunks it makes and writes them with their uses (uid, doc_id,
+seq, before) to the shared folder.  Bytes then travel by digest without the uses, at most one
+row per task and digest, and uses by document without the bytes, so a chunk that all documents
+share puts no more in one task than it has tasks.
 
 Edge cases: a null or empty text is a document of one id, the end id; rows that repeat a
 doc_id are documents of their own (uid tells them apart; they stand side by side, ordered
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import scratch_path
+from .common import scratch_path, written
 from .tokens import encoder_for, text_batches
 
 MIN_CHUNK, MEAN_CHUNK, MAX_CHUNK = 128, 512, 4096
@@ -48,7 +50,8 @@ MIN_CHUNK, MEAN_CHUNK, MAX_CHUNK = 128, 512, 4096
 WINDOW = 8
 #: Bytes of chunks a task merges before it hands them on.
 HOLD_BYTES = 48 << 20
-_CHUNK_ROW = "digest binary, n int, ids binary, refs array<struct<uid:long,doc_id:long,seq:int,before:long>>"
+_MADE_ROW = "digest binary, n int, ids binary, refs array<struct<uid:long,doc_id:long,seq:int,before:long>>"
+_CHUNK_ROW = "digest binary, n int, ids binary"
 _RECIPE_ROW = "part int, doc_id long, uid long, n_tokens long, root binary, chunks array<struct<digest:binary,n:int,before:long>>"
 
 
@@ -146,14 +149,14 @@ def _root(digests: pd.Series) -> pd.Series:
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> str:
     """Encode every whole text of docs (doc_id, text) and write the store; returns path."""
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long"), "text")
-    made = rows.mapInArrow(_chunk_rows(tokenizer, end_id), _CHUNK_ROW)
-    # One row per task and digest; the first of them keeps the bytes.
-    first = F.row_number().over(Window.partitionBy("digest").orderBy(F.col("refs")[0]["uid"])) == 1
-    chunks = made.withColumn("ids", F.when(first, F.col("ids")))
-    chunks.write.option("compression", "zstd").parquet(f"{path}/chunks")
+    made = rows.mapInArrow(_chunk_rows(tokenizer, end_id), _MADE_ROW)
+    made = written(made, "store-made")
     spark = docs.sparkSession
-    chunks = spark.read.schema(_CHUNK_ROW).parquet(f"{path}/chunks")
-    refs = chunks.select("digest", "n", F.explode("refs").alias("r"))
+    # One row per task and digest; the first of them keeps the bytes.
+    first = F.row_number().over(Window.partitionBy("digest").orderBy("uid")) == 1
+    payload = made.select("digest", "n", "ids", F.col("refs")[0]["uid"].alias("uid"))
+    payload.withColumn("__first", first).filter("__first").select("digest", "n", "ids").write.option("compression", "zstd").parquet(f"{path}/chunks")
+    refs = made.select("digest", "n", F.explode("refs").alias("r"))
     recipes = (
         refs.groupBy("r.doc_id", "r.uid")  # a document's chunks: bounded by its own text
         .agg(F.sort_array(F.collect_list(F.struct("r.seq", "digest", "n", "r.before"))).alias("c"))
@@ -246,7 +249,7 @@ def read_digests(spark: SparkSession, path: str, end_bytes: int = 4) -> DataFram
     """Verify the store and return doc_id, start, n_tokens, ids_crc32 for every document in it."""
     verify_manifest(spark, path)
     width = spark.read.parquet(f"{path}/head").first().id_bytes
-    chunks = spark.read.schema(_CHUNK_ROW).parquet(f"{path}/chunks").filter("ids is not null").select("digest", "ids")
+    chunks = spark.read.schema(_CHUNK_ROW).parquet(f"{path}/chunks").select("digest", "ids")
     crcs = chunks.mapInArrow(_checked_chunks(path, width), "digest binary, crc long")
     recipes = spark.read.schema(_RECIPE_ROW).parquet(f"{path}/recipes")
     uses = recipes.select("part", "doc_id", "uid", "root", "n_tokens", F.explode("chunks").alias("c"))
@@ -266,7 +269,7 @@ def read_digests(spark: SparkSession, path: str, end_bytes: int = 4) -> DataFram
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """doc_id and the ids of every document, put together again from its recipe."""
     width = spark.read.parquet(f"{path}/head").first().id_bytes
-    chunks = spark.read.schema(_CHUNK_ROW).parquet(f"{path}/chunks").filter("ids is not null").select("digest", "ids")
+    chunks = spark.read.schema(_CHUNK_ROW).parquet(f"{path}/chunks").select("digest", "ids")
     recipes = spark.read.schema(_RECIPE_ROW).parquet(f"{path}/recipes")
     uses = recipes.select("part", "doc_id", "uid", F.posexplode("chunks").alias("seq", "c")).select("part", "doc_id", "uid", "seq", "c.digest")
     joined = uses.join(chunks, "digest").groupBy("part", "doc_id", "uid").agg(F.sort_array(F.collect_list(F.struct("seq", "ids"))).alias("c"))
