@@ -2,6 +2,13 @@
 
 Every stage takes all rows its predecessor kept, as a table with the columns of documents,
 and its decisions hold for all that follow; the last returns what the token store holds.
+
+Odd cases: documents without text or with fewer than 50 words do not pass the first stage, so
+nulls and empty texts end there; a null lang, source or doc_id is a value like others; of rows
+that repeat a doc_id and text one stays, rows that share a doc_id only are documents of their
+own; texts of any length are taken whole; of equally good keepers the smaller doc_id stays;
+columns beyond those of documents are carried to the store stage and end there, whatever their
+names; an empty table, before or after any stage, gives an empty result.
 """
 
 from __future__ import annotations
