@@ -33,23 +33,30 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+"), F.trim), lambda x: x != "")
 
 
-def quality_codes(text: Column, refusals: Sequence[str] = ("i cannot", "as an ai"), shortest: int = 40) -> Column:
-    """Ordered reject codes of an answer: refusal, length, garbling, repetition."""
-    low = F.lower(text)
+def quality_codes(rows: DataFrame, text: str, refusals: Sequence[str] = ("i cannot", "as an ai"), shortest: int = 40) -> DataFrame:
+    """rows with codes, the ordered reject codes of an answer: refusal, length, garbling, long runs, repetition.
+
+    Lines and sentences are split once, into columns of their own.
+    """
+    t = F.col(text)
+    df = rows.withColumns({"__lines": lines(t), "__sentences": sentences(t)})
+    df = df.withColumns({"__same_lines": repeated_share(F.col("__lines")), "__same_sentences": repeated_share(F.col("__sentences"))})
+    low = F.lower(t)
     refused = F.lit(False)
     for r in refusals:
         refused = refused | F.contains(low, F.lit(r))
-    symbols = F.length(text) - without(text, "#*$%&|<>")
-    return reasons(
+    symbols = F.length(t) - without(t, "#*$%&|<>")
+    codes = reasons(
         [
             (refused, "refusal"),
-            (F.length(text) < shortest, "too_short"),
-            (symbols > 0.1 * F.length(text), "garbled"),
-            (text.rlike(r"(.)\1{19}"), "long_run"),
-            ((F.size(lines(text)) >= 4) & (repeated_share(lines(text)) > 0.6), "repeated_lines"),
-            ((F.size(sentences(text)) >= 3) & (repeated_share(sentences(text)) > 0.6), "repeated_sentences"),
+            (F.length(t) < shortest, "too_short"),
+            (symbols > 0.1 * F.length(t), "garbled"),
+            (t.rlike(r"(.)\1{19}"), "long_run"),
+            ((F.size("__lines") >= 4) & (F.col("__same_lines") > 0.6), "repeated_lines"),
+            ((F.size("__sentences") >= 3) & (F.col("__same_sentences") > 0.6), "repeated_sentences"),
         ]
     )
+    return df.withColumn("codes", codes).drop("__lines", "__sentences", "__same_lines", "__same_sentences")
 
 
 def complexity(text: Column) -> dict[str, Column]:
@@ -61,17 +68,6 @@ def complexity(text: Column) -> dict[str, Column]:
     }
 
 
-def facts(text: Column) -> Column:
-    """Distinct numbers (with decimals or percent signs) of a text."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"([0-9]+(?:\.[0-9]+)?%?)"), F.lit(1)))
-
-
-def fact_diff(old: Column, new: Column) -> dict[str, Column]:
-    added, gone = F.array_except(facts(new), facts(old)), F.array_except(facts(old), facts(new))
-    verdict = first_match([((F.size(added) > 0) & (F.size(gone) > 0), "swapped"), (F.size(added) > 0, "added"), (F.size(gone) > 0, "removed")], "same")
-    return {"n_added": F.size(added).cast("long"), "n_removed": F.size(gone).cast("long"), "verdict": verdict}
-
-
 def focus_terms(text: Column, grams: Sequence[int] = (4, 3, 2), longest: int = 8) -> Column:
     """Distinct tokens of two or more letters or digits, and the n-grams of short ones, in order of appearance."""
     tokens = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]{2,})"), F.lit(1)))
@@ -83,15 +79,10 @@ def focus_terms(text: Column, grams: Sequence[int] = (4, 3, 2), longest: int = 8
     return F.array_distinct(F.concat(tokens, *[pieces(n) for n in grams]))
 
 
-def marker_hits(texts: DataFrame, key: str, text: str, markers: Sequence[tuple[str, str]]) -> DataFrame:
-    """Rows (key, kind, hits): how many markers of every kind a text contains; a fixed table, so a projection, not a join."""
-    hit = F.array(*[F.when(F.contains(F.col(text), F.lit(m)), F.lit(kind)) for kind, m in markers])
-    return texts.select(key, F.explode(F.array_compact(hit)).alias("kind")).groupBy(key, "kind").agg(F.count("*").alias("hits"))
-
-
 def parsed_number(text: Column) -> Column:
-    """The first signed decimal, rounded half to even."""
-    return F.bround(F.regexp_extract(text, r"(-?[0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")).cast("long")
+    """The first signed decimal, rounded half to even; null if there is none or it does not fit."""
+    x = F.rint(F.nullif(F.regexp_extract(text, r"(-?[0-9]+(?:\.[0-9]+)?)", 1), F.lit("")).try_cast("double"))
+    return F.when(F.abs(x) < 9e18, x.cast("long"))
 
 
 def unique_rubric(rows: DataFrame, key: str, title: str, order: str) -> DataFrame:

@@ -72,12 +72,6 @@ def repeats_in_order(rows: DataFrame, keys: Sequence[str], order: str) -> DataFr
     return rows.withColumns({"place": place, "verdict": verdict})
 
 
-def yield_ranking(stats: DataFrame, explore: float = 0.5) -> DataFrame:
-    """Operators by smoothed hit rate with an exploration bonus, per second and less errors; every round(1/explore)-th place goes to the least tried."""
-    score = ((F.col("hits") + 1) / (F.col("attempts") + 2) + explore / F.sqrt(F.col("attempts") + 1)) * (1 - F.col("errors") / F.greatest(F.col("attempts"), F.lit(1)))
-    return stats.withColumn("score", F.round(score, 6))
-
-
 def top_k(rows: DataFrame, score: Column, tie: str, k: int) -> DataFrame:
     return rows.withColumn("hits", score).orderBy(F.desc("hits"), tie).limit(k)
 

@@ -89,6 +89,53 @@ def effect_matrix(effects: DataFrame, *keys: str) -> DataFrame:
     return g.withColumn("hit_rate", F.round(rate(F.col("n_dropped") + F.col("n_slight_drop"), F.col("n")), 4))
 
 
+SIGNATURE = ("core_capability", "overscore_cause", "failure_mode", "operator")
+EFFECT_FLAGS = {
+    "boundary_hits": "boundary_hit",
+    "score_increases": "score_increased",
+    "full_scores": "is_full_score",
+    "repeated_patterns": "repeated_pattern",
+    "redundancies": "redundancy",
+    "repeated_contexts": "repeated_context",
+    "answer_hints": "answer_hint",
+    "surface_leaks": "surface_leak",
+}
+
+
+def full_effect_matrix(effects: DataFrame) -> DataFrame:
+    """Per signature (SIGNATURE; null is blank): n, mean_delta, hit_rate, eleven conditional counts, two value counts and the mean change in characters.
+
+    effects have the signature, delta, effect_label, complexity_passed, risk, leak_types (a list),
+    review_status, char_delta and the booleans of EFFECT_FLAGS.  A missing delta counts as zero, a
+    null flag as false (complexity that did not pass counts as invalid); a blank review status is
+    not_reviewed; the mean of character changes is null where none is known.  Value counts are
+    'value:count' in order of value.
+    """
+    keys = list(SIGNATURE)
+    e = effects.withColumns({k: F.coalesce(F.trim(F.col(k)), F.lit("")) for k in keys})
+    e = e.withColumn("review_status", F.coalesce(F.nullif(F.trim("review_status"), F.lit("")), F.lit("not_reviewed")))
+    yes = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    whole = e.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        F.avg(F.coalesce("delta", F.lit(0.0))).alias("mean_delta"),
+        *[yes(F.col(flag)).alias(name) for name, flag in EFFECT_FLAGS.items()],
+        yes(F.col("effect_label") == "effective_boundary_probe").alias("effective_probes"),
+        F.count_if(~F.coalesce("complexity_passed", F.lit(False))).alias("invalid_complexities"),
+        yes(F.col("risk").isin("medium", "high")).alias("semantic_risks"),
+        F.avg("char_delta").alias("mean_char_delta"),
+    )
+
+    def counts(values: DataFrame, name: str) -> DataFrame:
+        each = values.groupBy(*keys, "value").agg(F.count("*").alias("c"))
+        listed = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("value", "c"))), lambda x: F.concat_ws(":", x["value"], x["c"].cast("string"))), ",")
+        return each.groupBy(*keys).agg(listed.alias(name))  # one value of a fixed vocabulary each
+
+    types = counts(e.select(*keys, F.explode("leak_types").alias("value")), "leak_type_counts")
+    reviews = counts(e.select(*keys, F.col("review_status").alias("value")), "review_counts")
+    joined = whole.join(types, keys, "left").join(reviews, keys, "left")
+    return joined.withColumns({"hit_rate": rate(F.col("boundary_hits"), F.col("n")), "leak_type_counts": F.coalesce("leak_type_counts", F.lit(""))})
+
+
 def yield_statistics(log: DataFrame, fields: list[str], operator: str = "operator") -> DataFrame:
     """Attempts, hits, errors and hits per hour by operator, and by operator and value of each field; blank values drop out."""
     globally = F.struct(F.lit("all").alias("field"), F.lit("all").alias("value"))

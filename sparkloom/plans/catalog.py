@@ -23,4 +23,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from . import evidence_queries, join_queries, rule_queries, source_queries, stat_queries, text_queries, window_queries  # noqa: E402, F401
+from . import evidence_queries, join_queries, review_queries, rule_queries, source_queries, stat_queries, text_queries, window_queries  # noqa: E402, F401

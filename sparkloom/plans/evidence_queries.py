@@ -88,12 +88,17 @@ def mixed_scopes(spark, d):
     return g.withColumn("mixed", F.col("worlds") > 1)
 
 
-@query("u4_stable_order", "SELECT p_partkey, p_brand, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS place FROM part ORDER BY place LIMIT 50")
+@query("u4_stable_order", "SELECT p_partkey, p_brand, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS place FROM part")
 def stable_order(spark, d):
+    """All rows in one order: sorted by range, numbered inside a size after those of larger ones (one row per size)."""
     from pyspark.sql import Window
 
-    top = table(spark, d, "part").orderBy(F.desc("p_size"), "p_partkey").limit(50)  # a top-k report
-    return top.select("p_partkey", "p_brand", F.row_number().over(Window.orderBy(F.desc("p_size"), "p_partkey")).cast("long").alias("place"))
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
+    sizes = p.groupBy("p_size").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy(F.desc("p_size")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.row_number().over(Window.partitionBy("p_size").orderBy("p_partkey"))
+    placed = p.join(F.broadcast(sizes.select("p_size", before.alias("before"))), "p_size")  # sizes are a fixed few
+    return placed.select("p_partkey", "p_brand", (inside + F.col("before")).cast("long").alias("place")).orderBy("place")
 
 
 @query("x13_safe_projection", "SELECT c_custkey, '***' AS c_name, c_mktsegment FROM customer")

@@ -43,24 +43,26 @@ def best_against_worst(spark, d):
 SIGNATURES = """SELECT o_orderkey AS id, o_orderstatus AS f1, nullif(o_orderpriority, '5-LOW') AS f2, c_mktsegment AS f3, c_nationkey::VARCHAR AS f4 FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
-@query("j4_signature_similarity", f"""WITH s AS ({SIGNATURES}), p AS (SELECT a.id AS a, b.id AS b,
+@query("j4_signature_similarity", f"""WITH s AS ({SIGNATURES}), c AS (SELECT f1, f2, f3, f4, count(*) AS n, min(id) AS first FROM s GROUP BY ALL), p AS (SELECT a.id AS a, b.first AS b, b.n,
   coalesce((a.f1 = b.f1)::INT, 0) + coalesce((a.f2 = b.f2)::INT, 0) + coalesce((a.f3 = b.f3)::INT, 0) + coalesce((a.f4 = b.f4)::INT, 0) AS same,
   (a.f1 IS NOT NULL AND b.f1 IS NOT NULL)::INT + (a.f2 IS NOT NULL AND b.f2 IS NOT NULL)::INT + (a.f3 IS NOT NULL AND b.f3 IS NOT NULL)::INT + (a.f4 IS NOT NULL AND b.f4 IS NOT NULL)::INT AS total
-  FROM s a, s b WHERE a.id % 500 = 0 AND b.id % 10 = 1) SELECT a, b, same / total AS share FROM p WHERE same >= 0.75 * total""")
+  FROM s a, c b WHERE a.id % 50 = 0) SELECT a, b, same / total AS share, n FROM p WHERE same >= 0.75 * total""")
 def signature_similarity(spark, d):
     o, c = table(spark, d, "orders"), table(spark, d, "customer")
     s = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("f1"), F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("f2"), F.col("c_mktsegment").alias("f3"), F.col("c_nationkey").cast("string").alias("f4")
     )
-    # The stated roles: every 500th order asks, every tenth is remembered.
-    return joins.signature_similarity(s.filter("id % 500 = 0"), s.filter("id % 10 = 1"), ["f1", "f2", "f3", "f4"])
+    # Every fiftieth order asks all orders; orders with equal fields are one class, shown by its smallest id and its size.
+    classes = s.groupBy("f1", "f2", "f3", "f4").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    found = joins.signature_similarity(s.filter("id % 50 = 0"), classes, ["f1", "f2", "f3", "f4"])
+    return found.join(classes.select(F.col("id").alias("b"), "n"), "b").select("a", "b", "share", "n")
 
 
-@query("j5_recent_failures", """WITH r AS (SELECT event_id AS id, user_id, event_type, day(ts) AS now FROM events WHERE event_type <> 'error' AND event_id % 2 = 0), l AS (SELECT user_id, day(ts) AS round FROM events WHERE event_type = 'error'),
+@query("j5_recent_failures", """WITH r AS (SELECT event_id AS id, user_id, event_type, day(ts) AS now FROM events WHERE event_type <> 'error'), l AS (SELECT user_id, day(ts) AS round FROM events WHERE event_type = 'error'),
 g AS (SELECT id, count(*) AS failures FROM r JOIN l USING (user_id) WHERE now - round BETWEEN 0 AND 2 GROUP BY id) SELECT *, CASE WHEN failures >= 3 THEN 'avoid' WHEN failures = 2 THEN 'downrank' ELSE 'warn' END AS advice FROM g""")
 def recent_failures(spark, d):
     e = table(spark, d, "events").withColumn("day", F.dayofmonth("ts"))
-    rows = e.filter("event_type <> 'error' AND event_id % 2 = 0").select(F.col("event_id").alias("id"), "user_id", F.col("day").alias("now"))
+    rows = e.filter("event_type <> 'error'").select(F.col("event_id").alias("id"), "user_id", F.col("day").alias("now"))
     return joins.recent_failures(rows, e.filter("event_type = 'error'").select("user_id", F.col("day").alias("round")), ["user_id"], 2)
 
 

@@ -35,9 +35,9 @@ def score_coercion(spark, d):
     return table(spark, d, "events").select("event_id", rules.in_unit(v).alias("in_unit"), rules.clamp(v - 0.1).alias("clamped"))
 
 
-@query("f3_clean_text", r"""SELECT doc_id, sha256(regexp_replace(regexp_replace(' ' || chr(9) || substring(text, 1, 40) || chr(10), '^[\s]+', ''), '[\s]+$', '')) AS h FROM documents""")
+@query("f3_clean_text", r"""SELECT doc_id, sha256(regexp_replace(regexp_replace(coalesce(' ' || chr(9) || text || chr(10), ''), '^[\s]+', ''), '[\s]+$', '')) AS h FROM documents""")
 def clean_text(spark, d):
-    padded = F.concat(F.lit(" \t"), F.expr("substring(text, 1, 40)"), F.lit("\n"))
+    padded = F.concat(F.lit(" \t"), F.col("text"), F.lit("\n"))
     return table(spark, d, "documents").select("doc_id", F.sha2(rules.clean(padded), 256).alias("h"))
 
 
@@ -48,13 +48,6 @@ def identity_keys(spark, d):
     return table(spark, d, "documents").select("doc_id", rules.identity(first, second, text=F.col("text")).alias("key"))
 
 
-@query("f8_schema_validation", """SELECT event_id, CASE WHEN NOT coalesce(event_type IN ('click', 'view', 'purchase'), false) THEN '$.event_type' WHEN NOT coalesce(value >= 1, false) THEN '$.value' WHEN NOT coalesce(CAST(json_extract(props, '$.k') AS BIGINT) < 90, false) THEN '$.props.k' END AS invalid FROM events""")
-def schema_validation(spark, d):
-    k = F.from_json("props", "k long")["k"]
-    checks = [("$.event_type", F.col("event_type").isin("click", "view", "purchase")), ("$.value", F.col("value") >= 1), ("$.props.k", k < 90)]
-    return rules.validate(table(spark, d, "events"), checks).select("event_id", "invalid")
-
-
 @query("f9_contract_survivors", """WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS seen FROM lineitem)
 SELECT l_orderkey, count(*) FILTER (seen > 1) AS duplicates, count(*) FILTER (seen = 1 AND l_quantity < 5) AS invalid, array_to_string(list(l_linenumber ORDER BY l_quantity, l_linenumber) FILTER (seen = 1 AND l_quantity >= 5), ',') AS survivors FROM c GROUP BY l_orderkey""")
 def contract_survivors(spark, d):
@@ -99,12 +92,6 @@ def next_states(spark, d):
     return table(spark, d, "events").join(F.broadcast(hints), "event_type", "left").select("event_id", status.alias("status"), "hint")
 
 
-@query("d9_rule_route", """SELECT doc_id, CASE WHEN contains(text, 'token') THEN 'secrets' WHEN contains(text, '@') THEN 'contacts' WHEN contains(text, ' | ') THEN 'tables' ELSE 'prose' END AS route FROM documents""")
-def rule_route(spark, d):
-    has = lambda x: F.contains("text", F.lit(x))
-    return table(spark, d, "documents").select("doc_id", rules.first_match([(has("token"), "secrets"), (has("@"), "contacts"), (has(" | "), "tables")], "prose").alias("route"))
-
-
 @query("d10_behaviour_labels", """SELECT l_orderkey, array_to_string(CASE WHEN max(l_tax) > 0.07 THEN ['blocked'] ELSE list_filter([CASE WHEN max(l_quantity) - min(l_quantity) > 30 THEN 'disputed' END, CASE WHEN max(l_discount) > 0.08 THEN 'penalised' END, CASE WHEN count(*) < 3 THEN 'sparse' END], lambda x: x IS NOT NULL) END, ',') AS labels FROM lineitem GROUP BY l_orderkey""")
 def behaviour_labels(spark, d):
     g = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_tax").alias("t"), (F.max("l_quantity") - F.min("l_quantity")).alias("r"), F.max("l_discount").alias("x"), F.count("*").alias("n"))

@@ -40,18 +40,6 @@ def first_wins(spark, d):
     return records.first_wins(table(spark, d, "events").select("user_id", "event_id", "event_type"), "user_id", "event_id")
 
 
-@query("s7_publish_once", "SELECT n_nationkey, n_name FROM nation")
-def publish_once(spark, d):
-    path, rows = shared_path(spark, "published"), table(spark, d, "nation").select("n_nationkey", "n_name")
-    records.published(rows, path, ["n_nationkey", "n_name"])
-    return records.published(rows, path, ["n_nationkey", "n_name"])
-
-
-@query("s8_manifest", "SELECT count(*) AS n, count(DISTINCT l_orderkey) AS orders, sum(l_linenumber)::BIGINT AS lines FROM lineitem")
-def manifest(spark, d):
-    return table(spark, d, "lineitem").agg(F.count("*").alias("n"), F.count_distinct("l_orderkey").alias("orders"), F.sum("l_linenumber").alias("lines"))
-
-
 @query("s9_trace_rows", "SELECT sha256(concat_ws('|', 'score', doc_id % 50, lang, sha256(text))) AS trace_id, lang, count(*) AS seen FROM documents GROUP BY ALL")
 def trace_rows(spark, d):
     docs = table(spark, d, "documents").select((F.col("doc_id") % 50).alias("key"), "lang", "text")

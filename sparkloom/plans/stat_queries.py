@@ -12,14 +12,6 @@ LABEL_SQL = """CASE WHEN before IS NULL OR after IS NULL THEN 'missing' WHEN aft
   WHEN round(before - after, 4) >= 0.05 THEN 'slight_drop' WHEN round(after - before, 4) >= 0.05 THEN 'increased' ELSE 'flat' END"""
 
 
-@query("a1_effect_matrix", f"""WITH {ROUNDS_SQL}, e AS (SELECT *, round(after - before, 4) AS delta, {LABEL_SQL} AS label FROM rounds)
-SELECT strategy, count(*) AS n, round(avg(delta), 4) AS mean_delta, count(*) FILTER (label = 'full') AS n_full, count(*) FILTER (label = 'missing') AS n_missing,
-  count(*) FILTER (label = 'dropped') AS n_dropped, count(*) FILTER (label = 'slight_drop') AS n_slight_drop, count(*) FILTER (label = 'increased') AS n_increased,
-  count(*) FILTER (label = 'flat') AS n_flat, round(count(*) FILTER (label IN ('dropped', 'slight_drop')) / count(*), 4) AS hit_rate FROM e GROUP BY strategy""")
-def effect_matrix(spark, d):
-    return stats.effect_matrix(rules.effect_labels(rounds(spark, d)), "strategy")
-
-
 @query("a3_trial_summary", f"""WITH {TRIALS_SQL}, g AS (SELECT sample, count(*) AS n, round(avg(score), 6) AS mean, median(score) AS median, round(stddev_pop(score), 6) AS std,
   min(score) AS low, max(score) AS high, round(quantile_cont(score, 0.75), 6) AS p75, count(*) FILTER (score >= 0.999) AS n_full, count(*) FILTER (score >= 0.8) AS n_high
   FROM trials GROUP BY sample) SELECT *, round(high - low, 6) AS spread, round(greatest(median, p75 - 0.03), 6) AS admission FROM g""")

@@ -22,13 +22,12 @@ def repeated_lines(spark, d):
   list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS s FROM documents),
 k AS (SELECT doc_id, list_filter([CASE WHEN contains(lower(text), 'i cannot') OR contains(lower(text), 'as an ai') THEN 'refusal' END, CASE WHEN length(text) < 40 THEN 'too_short' END,
   CASE WHEN length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) > 0.1 * length(text) THEN 'garbled' END,
+  CASE WHEN len(list_filter(list_distinct(string_split(text, '')), lambda c: c NOT IN (chr(10), chr(13)) AND contains(text, repeat(c, 20)))) > 0 THEN 'long_run' END,
   CASE WHEN len(l) >= 4 AND round((len(l) - len(list_distinct(l))) / len(l), 4) > 0.6 THEN 'repeated_lines' END,
   CASE WHEN len(s) >= 3 AND round((len(s) - len(list_distinct(s))) / len(s), 4) > 0.6 THEN 'repeated_sentences' END], lambda x: x IS NOT NULL) AS codes FROM c)
 SELECT doc_id, array_to_string(codes, ',') AS codes FROM k""")
 def quality_codes(spark, d):
-    df = table(spark, d, "documents").select("doc_id", T.quality_codes(F.col("text")).alias("c"))
-    # RE2, which checks this query, has no back-references: the code for long runs is left to a test.
-    return df.select("doc_id", F.array_join(F.array_remove("c", "long_run"), ",").alias("codes"))
+    return T.quality_codes(table(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", F.array_join("codes", ",").alias("codes"))
 
 
 @query("x6_complexity", r"""SELECT doc_id, len(regexp_extract_all(text, '[.!?]+')) AS n_sentences, len(regexp_extract_all(text, '[0-9]+')) AS n_numbers,
@@ -37,15 +36,6 @@ def complexity(spark, d):
     return table(spark, d, "documents").select("doc_id", *[c.alias(n) for n, c in T.complexity(F.col("text")).items()])
 
 
-@query("x3_fact_diff", r"""WITH f AS (SELECT a.doc_id, list_distinct(regexp_extract_all(a.text, '[0-9]+(?:\.[0-9]+)?%?')) AS o, list_distinct(regexp_extract_all(b.text, '[0-9]+(?:\.[0-9]+)?%?')) AS n FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1),
-g AS (SELECT doc_id, len(list_filter(n, lambda x: NOT list_contains(o, x))) AS n_added, len(list_filter(o, lambda x: NOT list_contains(n, x))) AS n_removed FROM f)
-SELECT *, CASE WHEN n_added > 0 AND n_removed > 0 THEN 'swapped' WHEN n_added > 0 THEN 'added' WHEN n_removed > 0 THEN 'removed' ELSE 'same' END AS verdict FROM g""")
-def fact_diff(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("old"))
-    after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("old").alias("new"))
-    return docs.join(after, "doc_id").select("doc_id", *[c.alias(n) for n, c in T.fact_diff(F.col("old"), F.col("new")).items()])
-
-
 @query("x1_focus_terms", r"""WITH w AS (SELECT conv_id, turn, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]{2,}')) AS t FROM conversations),
 g AS (SELECT conv_id, turn, t, list_filter(t, lambda x: length(x) BETWEEN 4 AND 8) AS s FROM w)
 SELECT conv_id, turn, len(list_distinct(list_concat(t, flatten(list_transform(s, lambda x: list_transform(range(1, length(x) - 2), lambda i: substring(x, i, 4)))),
@@ -54,14 +44,6 @@ def focus_terms(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", F.size(T.focus_terms(F.coalesce("text", F.lit("")))).cast("long").alias("n_terms"))
 
 
-MARKERS = (("contact", "@"), ("contact", "+1"), ("table", " | "), ("shout", "!!"), ("secret", "token"), ("licence", "licensed"))
-
-
-@query("x4_marker_hits", "SELECT doc_id, kind, count(*) AS hits FROM documents JOIN (VALUES " + ", ".join(f"('{k}', '{m}')" for k, m in MARKERS) + ") AS v(kind, marker) ON contains(text, marker) GROUP BY ALL")
-def marker_hits(spark, d):
-    return T.marker_hits(table(spark, d, "documents"), "doc_id", "text", MARKERS)
-
-
 @query("x5_sentence_ledger", r"""WITH s AS (SELECT conv_id, turn, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS s FROM conversations),
 e AS (SELECT conv_id, turn, unnest(s) AS sentence, unnest(range(0, len(s))) AS pos FROM s)
 SELECT conv_id, turn, pos, substring(sha256(sentence), 1, 16) AS fact_key, CASE WHEN contains(sentence, '?') THEN 'question' WHEN regexp_matches(sentence, '[0-9]') THEN 'number' ELSE 'statement' END AS class FROM e""")
@@ -71,10 +53,10 @@ def sentence_ledger(spark, d):
     return s.select("conv_id", "turn", F.col("pos").cast("long").alias("pos"), F.substring(F.sha2("sentence", 256), 1, 16).alias("fact_key"), kind.alias("class"))
 
 
-@query("x7_number_parse", r"""SELECT doc_id, round_even(TRY_CAST(nullif(regexp_extract(text, '(-?[0-9]+(?:\.[0-9]+)?)', 1), '') AS DOUBLE) , 0)::HUGEINT % 1000 AS number FROM documents WHERE regexp_matches(text, '[0-9]') AND length(regexp_extract(text, '(-?[0-9]+(?:\.[0-9]+)?)', 1)) < 15""")
+@query("x7_number_parse", r"""WITH n AS (SELECT doc_id, nullif(regexp_extract(text, '(-?[0-9]+(?:\.[0-9]+)?)', 1), '') AS number FROM documents), v AS (SELECT doc_id, number, TRY_CAST(number AS DOUBLE) AS x FROM n)
+SELECT doc_id, CASE WHEN abs(x) < 9e18 THEN round_even(x, 0)::BIGINT END AS number FROM v""")
 def number_parse(spark, d):
-    df = table(spark, d, "documents").filter(F.col("text").rlike("[0-9]") & (F.length(F.regexp_extract("text", r"(-?[0-9]+(?:\.[0-9]+)?)", 1)) < 15))
-    return df.select("doc_id", (T.parsed_number(F.col("text")) % 1000).alias("number"))
+    return table(spark, d, "documents").select("doc_id", T.parsed_number(F.col("text")).alias("number"))
 
 
 @query("x8_unique_rubric", r"""SELECT p_brand, trim(regexp_replace(p_name || '  ' || p_type, '[ \t\n\r]+', ' ', 'g')) AS title, min(p_partkey) AS first FROM part GROUP BY ALL""")

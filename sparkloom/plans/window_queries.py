@@ -82,13 +82,6 @@ def repeats_in_order(spark, d):
     return ranking.repeats_in_order(p, ["lang", "hash"], "doc_id").drop("hash")
 
 
-@query("w10_yield_ranking", """WITH s AS (SELECT event_type AS operator, count(*) AS attempts, count(*) FILTER (value > 10) AS hits, count(*) FILTER (user_id % 10 = 0) AS errors FROM events GROUP BY ALL)
-SELECT *, round(((hits + 1) / (attempts + 2) + 0.5 / sqrt(attempts + 1)) * (1 - errors / greatest(attempts, 1)), 6) AS score FROM s""")
-def yield_ranking(spark, d):
-    s = table(spark, d, "events").groupBy(F.col("event_type").alias("operator"))
-    return ranking.yield_ranking(s.agg(F.count("*").alias("attempts"), F.count_if(F.col("value") > 10).alias("hits"), F.count_if(F.col("user_id") % 10 == 0).alias("errors")))
-
-
 @query("w11_top_k_retrieval", """SELECT doc_id, contains(text, 'the')::INT + contains(text, 'ing')::INT + contains(text, 'des')::INT + contains(text, 'und')::INT AS hits FROM documents ORDER BY hits DESC, doc_id LIMIT 20""")
 def top_k(spark, d):
     score = sum((F.contains("text", F.lit(t)).cast("int") for t in ("ing", "des", "und")), F.contains(F.col("text"), F.lit("the")).cast("int"))

@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkloom.functions import text
-from sparkloom.operators import joins, ranking, rules, stats, tree
-from sparkloom.sources import records
+from sparkloom.functions import facts, text
+from sparkloom.operators import decisions, joins, ranking, routing, rules, schema, search_state, stats, tree
+from sparkloom.sources import manifest, records
 from sparkloom.sources.scratch import shared_path
 from sparkloom.streaming import events
 
@@ -69,7 +69,7 @@ def test_snapshot_round_trip(spark):
 
 def test_long_runs_and_refusals(spark):
     df = spark.createDataFrame([("x" * 50,), ("As an AI I cannot",)], "t string")
-    got = [r[0] for r in df.select(text.quality_codes(F.col("t"))).collect()]
+    got = [r[0] for r in text.quality_codes(df, "t").select("codes").collect()]
     assert got == [["long_run"], ["refusal", "too_short"]]
 
 
@@ -94,3 +94,101 @@ def test_stream_merge_is_idempotent(spark):
     for i in range(2):  # a second run with a fresh checkpoint replays everything
         events.merged(events.event_stream(spark, source, "*.parquet", df.schema), target, "id", shared_path(spark, f"check{i}"))
     assert [r.id for r in spark.read.parquet(target).orderBy("id").collect()] == [1, 2]
+
+
+def test_the_first_error_of_nested_records(spark):
+    node = {"type": "object", "required": ["name"], "properties": {"name": {"type": "string", "minLength": 1}, "next": {"type": ["array", "null"], "items": {"$ref": "leaf"}}}}
+    refs = {"leaf": {"type": "object", "required": ["v"], "properties": {"v": {"type": "integer"}, "on": {"type": "boolean"}}}}
+    cases = {
+        '{"name": "a", "next": [{"v": 1}, {"v": 2, "on": true}], "extra": {}}': None,
+        '{"name": "a", "next": null}': None,
+        '{"name": "a", "next": [{"v": 1}, {"on": true}]}': "$.next[1].v required",
+        '{"name": "a", "next": [{"v": true}]}': "$.next[0].v type",
+        '{"name": "a", "next": [{"v": 1.5}]}': "$.next[0].v type",
+        '{"name": "a", "next": [{"v": 1, "on": 1}, 5]}': "$.next[0].on type",
+        '{"name": ""}': "$.name minLength",
+        '{"name": null}': "$.name type",
+        "[]": "$ type",
+        "{": "$ parse",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "j string")
+    assert {r.j: r.invalid for r in schema.validate_json(df, "j", node, refs).collect()} == cases
+
+
+def test_rank_keeps_the_protected_first_and_explores_in_turn(spark):
+    rows = [("g", f"o{i}", i, 0 if i == 4 else None, *x) for i, x in enumerate([(10, 9, 0.0, 1.0), (10, 9, 0.0, 2.0), (10, 9, 1.0, 1.0), (0, 0, 0.0, 1.0), (5, 0, 0.0, 1.0), (10, 0, 0.0, 1.0)])]
+    df = spark.createDataFrame(rows, "grp string, operator string, place int, protected int, attempts int, hits int, errors double, seconds double")
+    assert routing.rank_operators(df, 0).first().ranked == ["o4", "o0", "o3", "o1", "o5", "o2"]
+    assert routing.rank_operators(df, 0.5).first().ranked == ["o4", "o3", "o0", "o1", "o2", "o5"]
+
+
+def test_a_group_row_is_preferred_to_the_overall_one(spark):
+    figures = "attempts int, hits int, errors double, seconds double"
+    grouped = spark.createDataFrame([("g", "a", 1, 1, 0.0, 1.0), ("g", "a", 7, 2, 0.0, 1.0)], f"grp string, operator string, {figures}")
+    overall = spark.createDataFrame([("a", 99, 0, 0.0, 1.0), ("b", 50, 0, 0.0, 1.0)], f"operator string, {figures}")
+    wanted = spark.createDataFrame([("g", "a"), ("g", "b"), ("g", "c")], "grp string, operator string")
+    assert {r.operator: r.attempts for r in routing.matching_stats(wanted, grouped, overall).collect()} == {"a": 7, "b": 50, "c": 0}
+
+
+def test_fact_check(spark):
+    cases = [
+        ("付100元", "付100 元", [], []),
+        ("付100元", "付200元", ["numeric_fact_added_or_conflicted"], []),
+        ("由“甲方”付", "由“乙方”付", ["explicit_entity_replaced"], []),
+        ("由“甲方”付", "由“甲方”和“乙方”付", [], []),
+        ("不得转让。", "可以转让。", ["text_level_reversal"], ["deleted_key_restriction_warning"]),
+        ("能否成立？", "已查明，能否成立？", ["new_deterministic_evidence_result"], []),
+        ("a", "仅限 b", [], ["scenario_narrowing_warning"]),
+        (None, None, [], []),
+    ]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _, _) in enumerate(cases)], "i int, old string, new string")
+    got = {r.i: (r.fatal, r.warnings) for r in facts.fact_check(df, "old", "new").collect()}
+    assert got == {i: (f, w) for i, (_, _, f, w) in enumerate(cases)}
+    assert all(r.passed for r in facts.fact_check(df, "old", "new", F.lit(False)).collect())
+
+
+def test_surface_leaks(spark):
+    cases = [
+        ("A. 疑似\nB. 已查明\nC. x", ["safe_option_leak"], "safe_option_leak:A. 疑似"),
+        ("A. 疑似\nB. 线索\nC. 已查明", [], None),
+        ("A. 疑似已查明", [], None),
+        ("写明得分点，先判断", ["rubric_axis_leak", "reasoning_path_leak"], "rubric_axis_leak:得分点"),
+        (None, [], None),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "i int, t string")
+    got = {r.i: (r.leak_types, r.leak_evidence[0] if r.leak_evidence else None) for r in facts.leaks(df, "t").collect()}
+    assert got == {i: (k, e) for i, (_, k, e) in enumerate(cases)}
+
+
+def test_a_checkpoint_of_another_input_raises(spark):
+    inputs = spark.createDataFrame([("a", "x")], "key string, text string")
+    log = spark.createDataFrame([("a", 1, "old", "partial", "timeout"), ("a", 2, "other", "partial", "timeout")], "key string, seq int, input_digest string, status string, reason string")
+    assert search_state.recover(inputs, log, "key", "seq", F.lit("other")).first().status == "running"
+    with pytest.raises(Exception, match="another input"):
+        search_state.recover(inputs, log, "key", "seq", F.lit("old")).collect()
+
+
+def test_budget_must_leave_an_operator(spark):
+    ledger = spark.createDataFrame([("scoring", "operator:a", 2.0), ("scoring", "pool", 0.0)], "kind string, target string, remaining double")
+    fields = "proposal int, idx int, target string, kind string, action string, before double, after double, evidence boolean, operator_gained boolean, required boolean"
+    rows = [(1, 0, "operator:a", "scoring", "reduce", 2.0, 0.0, True, False, False), (1, 1, "pool", "scoring", "increase", 0.0, 2.0, True, False, False), (2, 0, "operator:a", "scoring", "reduce", 2.0, 1.0, True, False, True), (3, 0, "memory", "scoring", "increase", 0.0, 1.0, True, False, False)]
+    eligible = spark.createDataFrame([("pool",)], "target string")
+    got = {r.proposal: (r.status, r.rejections, r.reviews) for r in decisions.budget_decisions(spark.createDataFrame(rows, fields), ledger, eligible).collect()}
+    assert got[1] == ("needs_human_review", [], ["eliminates_all_operators"])
+    assert got[2] == ("rejected", ["removes_required_scoring", "not_conserved_scoring"], [])
+    assert got[3] == ("rejected", ["targets_protected_state", "adds_scoring_to_unvalidated", "not_conserved_scoring"], [])
+
+
+def test_waves_stop_when_nothing_is_claimed(spark):
+    state = spark.createDataFrame([(1, 3), (2, 1)], "k int, left int")
+    merge = lambda s, r: s.join(r, "k", "left").selectExpr("k", "left - coalesce(ran, 0) AS left")
+    last, n = search_state.run_waves(state, lambda s: s.filter("left > 0"), lambda c: c.selectExpr("k", "1 AS ran"), merge, 9)
+    assert n == 3 and rows(last) == [(1, 0), (2, 0)]
+
+
+def test_publishing_twice_leaves_the_first(spark):
+    path = shared_path(spark, "artifact")
+    df = spark.range(5)
+    manifest.publish(df, path, "s", {"a": 1}, stamp={"round": 2})
+    assert rows(manifest.publish(spark.range(9), path, "s", {"a": 1}, stamp={"round": 2})) == [(i, 2) for i in range(5)]
+    assert manifest.publish(spark.range(9), path, "s", {"a": 2}).count() == 9
