@@ -124,17 +124,21 @@ def hits(docs: DataFrame, benchmark: DataFrame, enough: int = ENOUGH, share_perc
     known = _bitmap(vocabulary, vocabulary.count())
 
     def passes(i: Column) -> Column:
-        """All masks keep their first word: a window starts at a word of the benchmark or meets no seed."""
+        """A window whose kept words are not all words of the benchmark meets no seed, so most are not hashed."""
         found = F.lit(False)
         for m in masks:
-            kept = F.xxhash64(*[F.get(F.col("h"), (i + at).cast("int")) for at, c in enumerate(m) if c == "1"])
-            found = found | ((i <= F.size("h") - len(m)) & F.exists(F.array(kept), seen))
-        return known(F.get(F.col("h"), i)) & found
+            at = [(i + k).cast("int") for k, c in enumerate(m) if c == "1"]
+            here = F.coalesce(F.get(F.col("k"), at[1]), F.lit(False))
+            for x in at[2:]:
+                here = here & F.coalesce(F.get(F.col("k"), x), F.lit(False))
+            found = found | (here & F.exists(F.array(F.xxhash64(*[F.get(F.col("h"), x) for x in at])), seen))
+        return F.get(F.col("k"), i) & found
 
     # The row number is there for the optimizer: a filter on the exploded windows may not
     # move below it, where it would compute the hashes of a whole text for every window.
     w = docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64("doc_id", "text").alias("rid"), "doc_id", _words(text_or_empty()).alias("words"))
     w = w.withColumn("h", F.expr("transform(words, w -> xxhash64(w))"))
+    w = w.withColumn("k", F.transform("h", known))
     shortest = min(map(len, masks))
     starts = F.sequence(F.lit(0), F.greatest(F.size("h") - shortest, F.lit(0)))
     w = w.withColumn("at", F.when(F.size("h") < shortest, F.expr("cast(array() AS array<int>)")).otherwise(F.filter(starts, passes)))
