@@ -15,14 +15,16 @@ tokens, and a candidate must share prefix tokens under all three.
      that are frequent by the sketch are dealt out with a salt, so no task holds a hot token.
   2. Each token's smallest class is compared with the others (a star, never all pairs),
      and the links found give a first set of components.
-  3. Tokens all of whose classes are already connected drop out.  In the others, classes
+  3. Tokens all of whose classes are already connected drop out, and of tokens with the same
+     classes (those of one shared passage) all but one.  In the others, classes
      of different components are paired if their sizes allow it and their 512-bit parity
      sketches do not rule it out (the distance of two sketches is at most the number of
      tokens that the sets do not share).  The classes of a token with more than `BLOCK` are
      split in blocks; its largest component's classes are never paired with each other, so
      a group of near copies costs rows in proportion to its size.
-  4. A candidate's prefixes under the second and third order are intersected, then wider
-     parity sketches compared; only then do whole sets move, and what passed is verified.
+  4. Of candidates whose narrow parity sketches (a bit per token) are close, the prefixes under
+     the second and third order are intersected, then wider parity sketches compared; only
+     then do whole sets move, and what passed is verified.
   5. Components over all links found.
 
 A pair never compared is one whose ends are connected anyway, or that some filter proves
@@ -85,6 +87,11 @@ def wide_bits(n: int) -> int:
     return 1 << min(max((4 * n - 1).bit_length(), 9), MAX_WIDE_BITS)
 
 
+def narrow_bits(n: int) -> int:
+    """Bits of the narrow sketch: as many as the set has tokens, which rules out sets with little in common."""
+    return 1 << min(max((n - 1).bit_length(), 9), MAX_WIDE_BITS)
+
+
 def sketch_distance(x: bytes, y: bytes) -> int:
     """A lower bound on the number of tokens that are in one set only; the wider sketch is folded."""
     a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
@@ -196,7 +203,7 @@ def _shared(prefixes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, ranks, k: int, percent: int) -> DataFrame:
-    """(class, n, tokens, parity, marks, wide) of the wanted classes, from one document of each.
+    """(class, n, tokens, parity, narrow, marks, wide) of the wanted classes, from one document of each.
 
     marks: the prefixes under the second and the third order, in 16 bits a token (tokens that
     fall together make a pair pass, never fail).
@@ -211,14 +218,14 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, ranks, k: int,
         for batch in batches:
             for _, values, offsets in shingle_sets(batch.column(0), k):
                 rows = [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()) if b > a]
-                made = [[x.tobytes() for x in rows], [parity_sketch(x, PARITY_BITS) for x in rows], [marks(x) for x in rows], [parity_sketch(x, wide_bits(len(x))) for x in rows]]
+                made = [[x.tobytes() for x in rows], [parity_sketch(x, PARITY_BITS) for x in rows], [parity_sketch(x, narrow_bits(len(x))) for x in rows], [marks(x) for x in rows], [parity_sketch(x, wide_bits(len(x))) for x in rows]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([class_id(x) for x in rows], pa.int64()), pa.array([len(x) for x in rows], pa.int32()), *[pa.array(c, pa.binary()) for c in made]],
-                    ["class", "n", "tokens", "parity", "marks", "wide"],
+                    ["class", "n", "tokens", "parity", "narrow", "marks", "wide"],
                 )
 
     # Equal rows of a representative give equal sets; only one of each class may stay.
-    sets = written(found.select("text").mapInArrow(run, "class long, n int, tokens binary, parity binary, marks binary, wide binary"), "ngram-sets", "uncompressed")
+    sets = written(found.select("text").mapInArrow(run, "class long, n int, tokens binary, parity binary, narrow binary, marks binary, wide binary"), "ngram-sets", "uncompressed")
     again = sets.groupBy("class").agg(F.count("*").alias("c")).filter("c > 1").limit(1).count()
     return written(sets.dropDuplicates(["class"]), "ngram-sets", "uncompressed") if again else sets
 
@@ -254,19 +261,22 @@ def prefixes_meet(x: bytes, y: bytes) -> bool:
 def _verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, percent: int) -> DataFrame:
     """Of the candidate pairs (a, b), those that are linked.
 
-    The other orders' prefixes and wide sketches, a fraction of the sets' size, rule out most
-    pairs before whole sets move.
+    Narrow sketches (about 1/64 of the sets' size), then the other orders' prefixes and wide
+    sketches (about 1/6) rule out most pairs before whole sets move.
     """
 
     def near(x: list, y: list) -> bool:
-        (n, marks, wide), (m, other_marks, other_wide) = x, y
-        return prefixes_meet(marks, other_marks) and (100 + percent) * sketch_distance(wide, other_wide) <= (100 - percent) * (n + m)
+        return (100 + percent) * sketch_distance(x[-1], y[-1]) <= (100 - percent) * (x[0] + y[0])
+
+    def near_by_all(x: list, y: list) -> bool:
+        return prefixes_meet(x[1], y[1]) and near(x, y)
 
     def equal_enough(x: list, y: list) -> bool:
         a, b = np.frombuffer(x[1], dtype=np.uint64), np.frombuffer(y[1], dtype=np.uint64)
         return linked(len(np.intersect1d(a, b, assume_unique=True)), x[0], y[0], percent)
 
-    close = written(_tested(pairs, n_pairs, sets, ["marks", "wide"], near), "ngram-close")
+    alike = written(_tested(pairs, n_pairs, sets, ["narrow"], near), "ngram-alike")
+    close = written(_tested(alike, alike.count(), sets, ["marks", "wide"], near_by_all), "ngram-close")
     return _tested(close, close.count(), sets, ["tokens"], equal_enough)
 
 
@@ -324,8 +334,13 @@ def _candidates(shared: DataFrame, links: DataFrame, sets: DataFrame, percent: i
     first = written(connected_components(links).select(F.col("node").alias("class"), "root"), "ngram-roots")
     groups = shared.select("token", "class", "n").join(maybe_broadcast(first, first.count(), 32), "class", "left")
     groups = groups.select("token", "class", F.coalesce("root", "class").alias("comp"), "n")
-    sizes = groups.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"))
-    sizes = written(sizes.filter("low != high").select("token", "rows"), "ngram-groups")
+    # The tokens of one passage have the same classes: one of them stands for all.  A group is known by its size and 128 bits of sums.
+    hashes = (F.xxhash64("class"), F.xxhash64(F.lit(1), "class"))
+    halves = [half for h in hashes for half in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit((1 << 32) - 1)))]
+    sums = [F.sum(half).alias(f"h{i}") for i, half in enumerate(halves)]
+    sizes = groups.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"), *sums)
+    sizes = sizes.filter("low != high").groupBy("rows", *[f"h{i}" for i in range(len(sums))]).agg(F.min("token").alias("token"))
+    sizes = written(sizes.select("token", "rows"), "ngram-groups")
     open_groups = written(groups.join(maybe_broadcast(sizes, sizes.count(), 16), "token"), "ngram-own")
     zero = F.lit(0)
     few = open_groups.filter(F.col("rows") <= block).select("token", zero.alias("lo"), zero.alias("hi"), zero.alias("own"), "class", "comp", "n")

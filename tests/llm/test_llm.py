@@ -426,8 +426,9 @@ def test_filters_never_exclude_a_link():
         if ngram_join.linked(i, len(x), len(y), 80):
             for o in range(len(ngram_join.ORDERS)):
                 assert len(np.intersect1d(ngram_join.token_prefix(x, ranks, o, 80), ngram_join.token_prefix(y, ranks, o, 80)))
-        d = ngram_join.sketch_distance(ngram_join.parity_sketch(x, ngram_join.wide_bits(len(x))), ngram_join.parity_sketch(y, ngram_join.wide_bits(len(y))))
-        assert d <= len(x) + len(y) - 2 * i
+        for bits in (ngram_join.wide_bits, ngram_join.narrow_bits):
+            d = ngram_join.sketch_distance(ngram_join.parity_sketch(x, bits(len(x))), ngram_join.parity_sketch(y, bits(len(y))))
+            assert d <= len(x) + len(y) - 2 * i
 
 
 def test_chains_are_one_component(spark):
