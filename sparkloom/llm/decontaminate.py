@@ -103,7 +103,10 @@ def _bitmap(seeds: DataFrame, n: int) -> Callable[[Column], Column]:
     sc = seeds.sparkSession.sparkContext
     longs = sc._gateway.new_array(sc._jvm.long, len(filled))
     sc._jvm.java.nio.ByteBuffer.wrap(filled.tobytes()).asLongBuffer().get(longs)
-    bitmap = Column(sc._jvm.org.apache.spark.sql.functions.lit(longs))
+    # Spark's packed form of an array, as plans print a plain one in full, once for each use.
+    catalyst, ddl = sc._jvm.org.apache.spark.sql.catalyst.expressions, sc._jvm.org.apache.spark.sql.types.DataType.fromDDL
+    packed = catalyst.Literal(catalyst.UnsafeArrayData.fromPrimitiveArray(longs), sc._jvm.org.apache.spark.sql.types.ArrayType(ddl("bigint"), False))
+    bitmap = Column(sc._jvm.org.apache.spark.sql.classic.ExpressionUtils.column(packed))
 
     def may_be(s: Column) -> Column:
         bit = lambda x: F.call_function("shiftright", F.get(bitmap, F.shiftright(x, 6).cast("int")), x.bitwiseAND(F.lit(63)).cast("int"))
