@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, written
+from .common import written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,9 +20,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
     def with_least(df: DataFrame) -> DataFrame:
-        """df with m, the smallest v of each u: one row per u and task goes to the sums, then back by a join that may be split where u is a hub."""
-        least = written(df.groupBy("u").agg(F.min("v").alias("m")), "least")
-        return df.join(maybe_broadcast(least, least.count(), 16), "u")
+        """df with m, the smallest v of each u: one row per u and task goes to the sums, then back by a join that AQE broadcasts by its measured size or splits where u is a hub."""
+        return df.join(df.groupBy("u").agg(F.min("v").alias("m")), "u")
 
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
     e = written(e, "edges")
