@@ -192,3 +192,13 @@ def test_publishing_twice_leaves_the_first(spark):
     manifest.publish(df, path, "s", {"a": 1}, stamp={"round": 2})
     assert rows(manifest.publish(spark.range(9), path, "s", {"a": 1}, stamp={"round": 2})) == [(i, 2) for i in range(5)]
     assert manifest.publish(spark.range(9), path, "s", {"a": 2}).count() == 9
+
+
+@pytest.mark.parametrize("parts", [[(1, 3), (2, 4)], [(61, 4), (62, 3)], [(1, None), (2, 4), (2, 4)], [(None, 4)]])
+def test_snapshot_query_changes_a_card_that_counts(spark, parts):
+    from sparkloom.plans import catalog
+
+    d = shared_path(spark, "parts")
+    spark.createDataFrame(parts, "p_partkey long, p_size int").write.parquet(f"{d}/part.parquet")
+    cards = sum(size is not None and size % 3 != 0 for _, size in parts)
+    assert rows(catalog.QUERIES["s14_snapshot"](spark, d)) == [(cards, "global_memory", True, True)]
