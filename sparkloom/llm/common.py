@@ -50,6 +50,15 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that written() made, once nothing that is still to run reads them."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = sc._jvm.org.apache.hadoop.fs.Path(sc._jvm.java.net.URI(folder))
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables."""
     sc = spark.sparkContext

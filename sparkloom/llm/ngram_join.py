@@ -21,7 +21,10 @@ tokens, and a candidate must share prefix tokens under all three.
      sketches do not rule it out (the distance of two sketches is at most the number of
      tokens that the sets do not share).  The classes of a token with more than `BLOCK` are
      split in blocks; its largest component's classes are never paired with each other, so
-     a group of near copies costs rows in proportion to its size.
+     a group of near copies costs rows in proportion to its size.  This is done twice: first
+     each class goes with its nearest partner of every group only, by the distance of the
+     sketches, which is a pair a row at most; then, with the components that these links
+     make, all pairs that are left.
   4. Of candidates whose narrow parity sketches (a bit per token) are close, the prefixes under
      the second and third order are intersected, then wider parity sketches compared; only
      then do whole sets move, and what passed is verified.
@@ -47,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import maybe_broadcast, written
+from .common import discard, maybe_broadcast, written
 from .components import connected_components
 from .shingles import U64, mix, shingle_sets
 
@@ -146,12 +149,20 @@ def _token_ranks(signatures: DataFrame) -> tuple[np.ndarray, float]:
                 sums[s] = sums[s] + part if s in sums else part
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["slice", "counts"])
 
-    schema = "slice int, counts binary"
-    partial = signatures.filter("slice is not null").select("slice", "counts").mapInArrow(add, schema)
-    total = {r.slice: np.frombuffer(r.counts, dtype=np.uint64) for r in partial.repartition("slice").mapInArrow(add, schema).collect()}
-    counts = np.concatenate([total[s] for s in range(SKETCH_SLICES)]) if total else np.zeros(1 << SKETCH_BITS, np.uint64)
-    mean = max(1.0, float(counts.mean()))
-    return np.clip(np.rint(4 * np.log2(np.maximum(counts, 1) / mean)), 0, 255).astype(np.uint8), mean
+    def logarithms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in add(batches):
+            counts = [np.frombuffer(x, dtype=np.uint64) for x in batch.column(1).to_pylist()]
+            logs = [np.rint(256 * np.log2(np.maximum(x, 1))).astype(np.uint16).tobytes() for x in counts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([int(x.sum()) for x in counts], pa.int64()), pa.array(logs, pa.binary())], ["slice", "total", "logs"])
+
+    partial = signatures.filter("slice is not null").select("slice", "counts").mapInArrow(add, "slice int, counts binary")
+    # The driver gets a count's logarithm in two bytes, and turns it into a rank slice by slice.
+    found = partial.repartition("slice").mapInArrow(logarithms, "slice int, total long, logs binary").collect()
+    mean = max(1.0, sum(r.total for r in found) / (1 << SKETCH_BITS))
+    ranks = np.zeros((SKETCH_SLICES, size), np.uint8)
+    for r in found:
+        ranks[r.slice] = np.clip(np.rint(np.frombuffer(r.logs, dtype=np.uint16) / 64 - 4 * np.log2(mean)), 0, 255)
+    return ranks.reshape(-1), mean
 
 
 def _prefixes(docs: DataFrame, ranks, mean: float, k: int, percent: int, hot: int) -> DataFrame:
@@ -199,7 +210,9 @@ def _shared(prefixes: DataFrame) -> DataFrame:
     # Salted tokens: their leaders come from one row per token and salt; Spark splits a skewed side of the join.
     best = hot.groupBy("token").agg(F.min(F.struct("leader", "leader_n")).alias("best"), F.max("last").alias("top"))
     best = best.filter(F.col("best.leader") != F.col("top")).select("token", F.col("best.leader").alias("leader"), F.col("best.leader_n").alias("leader_n"))
-    return written(cold.unionByName(hot.select("token", "class", "n").join(best, "token").select(names)), "ngram-shared")
+    shared = written(cold.unionByName(hot.select("token", "class", "n").join(best, "token").select(names)), "ngram-shared")
+    discard(led)
+    return shared
 
 
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, ranks, k: int, percent: int) -> DataFrame:
@@ -280,13 +293,23 @@ def _verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, percent: int) ->
     return _tested(close, close.count(), sets, ["tokens"], equal_enough)
 
 
-def _paired(percent: int):
-    """A function over rows (token, lo, hi, own, class, comp, n, parity), sorted by the first three (token: the group's key), that makes candidate pairs."""
+def nearest_pairs(i: np.ndarray, j: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """Which pairs (i, j) of rows are the nearest of one of their rows."""
+    ends, pair = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
+    order = np.lexsort((pair, np.tile(gap, 2), ends))
+    return np.unique(pair[order[np.flatnonzero(np.diff(ends[order], prepend=-1))]])
+
+
+def _paired(percent: int, nearest: bool):
+    """A function over rows (token, lo, hi, own, class, comp, n, parity), sorted by the first three (token: the group's key), that makes candidate pairs.
+
+    nearest: only those that are the nearest of one of their classes in a group.
+    """
 
     def pairs_of(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         token, lo, hi, own, cls, comp, n = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "own", "class", "comp", "n"))
         bits = np.frombuffer(b"".join(t.column("parity").to_pylist()), dtype=np.uint64).reshape(len(cls), PARITY_BITS // 64)
-        out = []
+        met = []
         at, d = np.arange(len(cls) - 1), 1
         while len(at := at[at + d < len(cls)]):
             i, j = at, at + d
@@ -300,8 +323,12 @@ def _paired(percent: int):
             # Linked sets share at least percent/(100+percent) of n+m, so differ in at most this much.
             near = (100 + percent) * apart <= (100 - percent) * (n[i].astype(np.int64) + n[j])
             i, j = i[near], j[near]
-            out.append(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])], axis=1))
-        found = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+            met.append((i, j, apart[near] / (n[i] + n[j])))
+        i, j, gap = (np.concatenate(x) for x in zip(*met)) if met else (at, at, at)
+        if nearest:
+            keep = nearest_pairs(i, j, gap)
+            i, j = i[keep], j[keep]
+        found = np.unique(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])], axis=1), axis=0)
         return found[:, 0], found[:, 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,9 +356,9 @@ def _paired(percent: int):
     return run
 
 
-def _candidates(shared: DataFrame, links: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b): classes of different components that share a token and that sizes and sketches allow."""
-    first = written(connected_components(links).select(F.col("node").alias("class"), "root"), "ngram-roots")
+def _open_groups(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(token, class, comp, n, rows): the classes of tokens that lie in more than one component; rows: how many the token has."""
+    first = roots.select(F.col("node").alias("class"), "root")
     groups = shared.select("token", "class", "n").join(maybe_broadcast(first, first.count(), 32), "class", "left")
     groups = groups.select("token", "class", F.coalesce("root", "class").alias("comp"), "n")
     # The tokens of one passage have the same classes: one of them stands for all.  A group is known by its size and 128 bits of sums.
@@ -341,7 +368,11 @@ def _candidates(shared: DataFrame, links: DataFrame, sets: DataFrame, percent: i
     sizes = groups.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"), *sums)
     sizes = sizes.filter("low != high").groupBy("rows", *[f"h{i}" for i in range(len(sums))]).agg(F.min("token").alias("token"))
     sizes = written(sizes.select("token", "rows"), "ngram-groups")
-    open_groups = written(groups.join(maybe_broadcast(sizes, sizes.count(), 16), "token"), "ngram-own")
+    return written(groups.join(maybe_broadcast(sizes, sizes.count(), 16), "token"), "ngram-own")
+
+
+def _candidates(open_groups: DataFrame, sets: DataFrame, percent: int, block: int, nearest: bool) -> DataFrame:
+    """(a, b): classes of different components that share a token and that sizes and sketches allow; nearest: only each class's nearest of a group."""
     zero = F.lit(0)
     few = open_groups.filter(F.col("rows") <= block).select("token", zero.alias("lo"), zero.alias("hi"), zero.alias("own"), "class", "comp", "n")
     # Larger groups: their largest component goes to blocks of its own, which never meet each other.
@@ -358,7 +389,7 @@ def _candidates(shared: DataFrame, links: DataFrame, sets: DataFrame, percent: i
     parity = maybe_broadcast(sets.select("class", "parity"), n_sets, row_bytes)
     columns = ["token", "lo", "hi", "own", "class", "comp", "n", "parity"]
     rows = few.unionByName(many).join(parity, "class").select(columns).repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
-    found = rows.mapInArrow(_paired(percent), "a long, partners array<long>")
+    found = rows.mapInArrow(_paired(percent, nearest), "a long, partners array<long>")
     # A pair that shares many tokens comes from many tasks: partners are merged before they become rows.
     merged = found.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
     return merged.select("a", F.explode("partners").alias("b"))
@@ -381,9 +412,15 @@ def class_components(docs: DataFrame, k: int = K, percent: int = PERCENT, block:
     fits = 100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n")
     star = written(shared.filter((F.col("class") != F.col("leader")) & fits).select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct(), "ngram-stars")
     links = written(_verified(star, star.count(), sets, percent), "ngram-links")
-    rest = written(_candidates(shared, links, sets, percent, block), "ngram-rest")
-    links = links.unionByName(_verified(rest, rest.count(), sets, percent))
-    return signatures, classes, connected_components(written(links, "ngram-links"))
+    left = shared
+    for nearest in (True, False):  # what the nearest partners connect is not paired again
+        roots = written(connected_components(links), "ngram-roots")
+        left = _open_groups(left, roots)
+        rest = written(_candidates(left, sets, percent, block, nearest), "ngram-rest")
+        found = _verified(rest, rest.count(), sets, percent)
+        links = written(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found), "ngram-links")
+    discard(sets, shared, star, left, rest)
+    return signatures, classes, connected_components(links)
 
 
 def _grouped(classes: DataFrame, components: DataFrame) -> DataFrame:

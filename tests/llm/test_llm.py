@@ -394,6 +394,27 @@ def test_components_by_every_path(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_near_copies_are_not_compared_pair_by_pair(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    base = [f"w{x}" for x in r.integers(0, 10**6, 400)]
+    rows = []
+    for i in range(240):
+        words = list(base)
+        for at in r.choice(400, int(r.integers(2, 8)), replace=False):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    tested, verified = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, n, *a: tested.append(n) or verified(pairs, n, *a))
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == components_of(rows)
+    assert sum(tested) < 10 * len(rows), tested
+
+
+def test_nearest_pairs_keep_one_for_each_row():
+    i, j, gap = np.array([0, 0, 1, 4]), np.array([1, 2, 2, 5]), np.array([0.3, 0.1, 0.2, 0.9])
+    assert ngram_join.nearest_pairs(i, j, gap).tolist() == [1, 2, 3]
+
+
 def test_every_order_decides():
     """A pair that shares prefix tokens under one order only is no candidate."""
     r = np.random.default_rng(4)
