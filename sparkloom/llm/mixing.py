@@ -102,16 +102,18 @@ _ADDED = "concat(runs, array(struct(after, upto, most, take, whole)))"
 def _run(keyed: DataFrame, left: DataFrame, later: bool) -> DataFrame:
     """(sid, upto, take, whole, gap): the next run of rows that fit, for each source of `left` that has one.
 
-    Of the rows at its last key the first `take` are taken, of those before it all.
+    Of the rows at its last key the first `take` are taken, of those before it all.  The cuts,
+    a row per source, are written: inside each other they would be planned many times over.
     """
     block, sub = F.expr("shiftright(key, 63 - bits)"), F.expr(f"shiftright(key, {63 - SUB_BITS} - bits) & {(1 << SUB_BITS) - 1}")
-    fits = keyed
+    fits = keyed.join(left.select("sid", "bits", "after", "most"), "sid")
     if later:
-        fits = fits.join(left.select("sid", "after", "most"), "sid").filter("key > after AND size > 0 AND size <= most").select("sid", "bits", "size", "key")
-    first = _cut(fits, left, block, []).withColumnRenamed("digit", "block")
-    inside = fits.withColumn("block", block).join(first.select("sid", "block"), ["sid", "block"]).select("sid", "bits", "size", "key")
-    second = _cut(inside, first, sub, ["block"]).withColumnRenamed("digit", "sub")
-    last = inside.withColumn("sub", sub).join(second.select("sid", "sub", "rest"), ["sid", "sub"])
+        fits = fits.filter("key > after AND size > 0 AND size <= most")
+    fits = fits.select("sid", "bits", "size", "key")
+    first = written(_cut(fits, left, block, []).withColumnRenamed("digit", "block"), "mix-cuts")
+    inside = lambda cut, *more: fits.withColumns({"block": block, "sub": sub}).join(cut.select("sid", *more), ["sid", *(c for c in more if c != "rest")])
+    second = written(_cut(inside(first, "block"), first, F.col("sub"), ["block"]).withColumnRenamed("digit", "sub"), "mix-cuts")
+    last = inside(second, "block", "sub", "rest")
     # What remains is one block in 2^24 of a source; equal rows travel as one with their count.
     last = last.groupBy("sid", "key", "rest").agg(F.max("size").alias("size"), F.count("*").alias("n"))
     upto = Window.partitionBy("sid").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
@@ -129,10 +131,10 @@ def mixing_plan(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, share:
     plan = source_targets(sources, share, most)
     bits = F.greatest(F.lit(0), F.least(F.lit(MAX_BITS), F.floor(F.log2(F.col("rows") / BLOCK_ROWS)))).cast("int")
     epochs = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0)).cast("int")
-    plan = plan.withColumns({"bits": bits, "epochs": epochs, "sid": F.xxhash64(F.lit(seed), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))})
+    sid = F.xxhash64(F.lit(seed), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
+    plan = plan.withColumns({"bits": bits, "epochs": epochs, "sid": sid})
     plan = written(plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-sources")
-    small = plan.select("sid", "bits", F.col("source").alias("p_source"))
-    keyed = narrow.join(small, F.col("source").eqNullSafe(F.col("p_source"))).select("sid", "bits", "size", "key")
+    keyed = narrow.select(sid.alias("sid"), "size", "key")
     none = "array<struct<after: bigint, upto: bigint, most: bigint, take: bigint, whole: boolean>>"
     left = plan.select("sid", "bits", "rest", F.lit(-1).cast("long").alias("after"), F.lit((1 << 63) - 1).alias("most"), F.array().cast(none).alias("runs"))
     ended = left.filter("rest <= 0").select("sid", "runs", F.col("rest").alias("gap"))

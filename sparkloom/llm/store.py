@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import scratch_path, written
+from .common import discard, scratch_path, written
 from .tokens import encoder_for, text_batches
 
 MIN_CHUNK, MEAN_CHUNK, MAX_CHUNK = 128, 512, 4096
@@ -176,6 +176,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> str:
     width = 2 if encoder_for(tokenizer, end_id).vocabulary <= 1 << 16 else 4
     head = (width, sum(p.n_docs for p in parts), sum(p.n_ids for p in parts), merkle([bytes(p.root) for p in parts]))
     spark.createDataFrame([head], "id_bytes int, n_docs long, n_ids long, root binary").coalesce(1).write.parquet(f"{path}/head")
+    discard(made)
     return path
 
 

@@ -133,6 +133,20 @@ def test_mixing_goes_on_behind_a_long_row(spark):
             assert 0 <= gap < min(left)
 
 
+def test_runs_of_the_mix_are_planned_once(small, monkeypatch):
+    from sparkloom.llm import common
+
+    joins = []
+
+    def counted(df, *a):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return common.written(df, *a)
+
+    monkeypatch.setattr(mixing, "written", counted)
+    mixing.taken(small).collect()
+    assert joins and max(joins) <= 8, joins
+
+
 def test_mix_rows_agree_with_the_report(small):
     copies = {r.doc_id: r.copies for r in mixing.taken(small).collect()}
     rows = mixing.mix(small).collect()
