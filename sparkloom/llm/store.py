@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import discard, scratch_path, written
-from .tokens import encoder_for, text_batches
+from .tokens import encoder_for, text_slices
 
 MIN_CHUNK, MEAN_CHUNK, MAX_CHUNK = 128, 512, 4096
 #: Ids that the rolling hash sees; at most MIN_CHUNK, so that no cut depends on a chunk before.
@@ -117,7 +117,7 @@ def _chunk_rows(tokenizer: str, end_id: int):
         size = 0
         for batch in batches:
             uids, doc_ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at, texts in text_batches(batch, 2):
+            for at, texts in text_slices(batch.column(2)):
                 ids, counts = encoder.encode(texts)
                 ends = np.cumsum(counts)
                 raw, width = ids.astype(kind).tobytes(), kind.itemsize

@@ -5,6 +5,10 @@ before it, so a text's ids are those of its pieces between such spaces, one afte
 other.  Pieces repeat, so each worker process encodes a piece once and then looks it
 up; a text in which a space is followed by another blank (or by its end) is encoded in
 one go.  `encode` therefore returns exactly what the tokenizer returns for whole texts.
+
+Arrow splits a slice of texts and numbers its distinct pieces, so Python sees each of them
+once a slice.  New pieces go to the tokenizer joined to short texts; a piece's ids are told
+from its neighbours' by the bytes that an id stands for.
 """
 
 from __future__ import annotations
@@ -12,9 +16,11 @@ from __future__ import annotations
 import os
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +28,8 @@ from pyspark.sql import functions as F
 CACHE_PIECES = 1_200_000
 #: Characters of text encoded at a time.
 SLICE_CHARS = 1 << 21
+#: New pieces that the tokenizer gets as one text.
+JOINED_PIECES = 64
 
 
 class _Codes(dict):
@@ -49,6 +57,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
+        self.id_bytes = _id_bytes(self.tokenizer)
         self.end = [] if end_id is None else [end_id]
         self.cache_pieces = cache_pieces
         self._reset()
@@ -69,30 +78,50 @@ class PieceEncoder:
     def _encode_pending(self) -> None:
         if not self.pending:
             return
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(self.pending, add_special_tokens=False)]
+        new, lengths = self._joined(self.pending) or self._apart(self.pending)
         self.pending = []
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        starts = len(self.flat) + np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        new = np.fromiter((x for ids in found for x in ids), dtype=np.uint32, count=int(lengths.sum()))
+        starts = len(self.flat) + np.cumsum(lengths) - lengths
         self.flat = np.concatenate([self.flat, new])
         self.start = np.concatenate([self.start, starts])
         self.length = np.concatenate([self.length, lengths])
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, ids per piece) from texts of several pieces; None if a piece does not end where an id does."""
+        begins = [i for i, p in enumerate(pieces) if i % JOINED_PIECES == 0 or not p.startswith(" ")]
+        texts = ["".join(pieces[a:b]) for a, b in pairwise([*begins, len(pieces)])]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), dtype=np.uint32)
+        id_ends = np.concatenate([[0], np.cumsum(self.id_bytes[ids])])
+        piece_ends = np.cumsum(np.fromiter((len(p.encode()) for p in pieces), dtype=np.int64, count=len(pieces)))
+        upto = np.searchsorted(id_ends, piece_ends)
+        if id_ends[-1] != piece_ends[-1] or (id_ends[upto] != piece_ends).any():
+            return None
+        return ids, np.diff(upto, prepend=0)
+
+    def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), dtype=np.uint32), np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, ids per text); every text ends with the end id, if there is one."""
         if self.n_codes > self.cache_pieces:
             self._reset()
-        codes: list[int] = []
-        ends: list[int] = []
-        later = self.later.__getitem__
-        for text in texts:
-            pieces = (text or "").split(" ")
-            codes.append(self.first[pieces[0]])
-            codes.extend(map(later, pieces[1:]))
-            codes.append(self.END)
-            ends.append(len(codes))
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
+        split = pc.split_pattern(texts, " ")
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        pieces = split.flatten().dictionary_encode()
+        where, heads = pieces.indices.to_numpy(), bounds[:-1]
+        is_later = np.ones(len(where), dtype=bool)
+        is_later[heads] = False
+        used = np.zeros(len(pieces.dictionary), dtype=bool)
+        used[where[is_later]] = True
+        code_of = np.zeros(len(used), dtype=np.int64)
+        code_of[used] = [self.later[p] for p in pieces.dictionary.filter(pa.array(used)).to_numpy(zero_copy_only=False)]
+        codes = code_of[where]
+        codes[heads] = [self.first[p] for p in pieces.dictionary.take(pa.array(where[heads])).to_numpy(zero_copy_only=False)]
+        codes = np.insert(codes, bounds[1:], self.END)
         self._encode_pending()
-        return self._assemble(texts, np.array(codes, dtype=np.int64), np.array(ends, dtype=np.int64))
+        return self._assemble(texts, codes, bounds[1:] + np.arange(1, len(texts) + 1))
 
     def _assemble(self, texts, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = self.length[codes]
@@ -106,11 +135,22 @@ class PieceEncoder:
         if len(odd):
             parts = np.split(ids, text_ends[:-1])
             for i in odd:
-                parts[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids + self.end, dtype=np.uint32)
+                parts[i] = np.array(self.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False).ids + self.end, dtype=np.uint32)
             ids, counts = np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
         return ids, counts
 
 
+def _id_bytes(tokenizer) -> np.ndarray:
+    """Per id the bytes of text it stands for: a character of a byte-level token is one byte."""
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocabulary.values(), default=-1) + 1, dtype=np.int64)
+    for token, i in vocabulary.items():
+        out[i] = len(token)
+    for i, token in tokenizer.get_added_tokens_decoder().items():
+        out[i] = len(token.content.encode())
+    return out
+
+
 _ENCODERS: dict[tuple, PieceEncoder] = {}
 
 
@@ -121,26 +161,16 @@ def encoder_for(path: str, end_id: int | None = None) -> PieceEncoder:
     return _ENCODERS[path, end_id]
 
 
-def slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges of whole texts of at most `limit` characters together (one text may be longer)."""
+def text_slices(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, pa.Array]]:
+    """(offset, texts) of slices of whole texts of at most `limit` characters together (one text may be longer)."""
     begin = held = 0
-    for i, text in enumerate(texts):
-        n = len(text or "") + 1
-        if i > begin and held + n > limit:
-            yield begin, i
+    for i, n in enumerate(pc.utf8_length(column).fill_null(0).to_pylist()):
+        if i > begin and held + n + 1 > limit:
+            yield begin, column.slice(begin, i - begin)
             begin, held = i, 0
-        held += n
-    if begin < len(texts):
-        yield begin, len(texts)
-
-
-def text_batches(batch: pa.RecordBatch, column: int, limit: int = SLICE_CHARS) -> Iterator[tuple[int, list[str | None]]]:
-    """(offset, texts) of slices of a batch, without holding all its texts as Python strings."""
-    step = 256
-    for begin in range(0, batch.num_rows, step):
-        texts = batch.column(column).slice(begin, step).to_pylist()
-        for a, b in slices(texts, limit):
-            yield begin + a, texts[a:b]
+        held += n + 1
+    if begin < len(column):
+        yield begin, column.slice(begin)
 
 
 def length_histogram(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -154,7 +184,7 @@ def length_histogram(docs: DataFrame, tokenizer: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, found = encoder_for(tokenizer), Counter()
         for batch in batches:
-            for _, texts in text_batches(batch, 0):
+            for _, texts in text_slices(batch.column(0)):
                 found.update(encoder.encode(texts)[1].tolist())
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], ["n_tokens", "n_docs"])
 

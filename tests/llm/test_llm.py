@@ -262,6 +262,40 @@ def test_piecewise_encoding_is_whole_text_encoding():
             assert part.tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
 
 
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **more):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **more)
+
+    def encode(self, text, **more):
+        return self.tokenizer.encode(text, **more)
+
+
+def test_new_pieces_are_encoded_together():
+    import pyarrow as pa
+
+    r = random.Random(2)
+    texts = [" ".join("".join(r.choice("abcdeé漢1.,'") for _ in range(r.randint(3, 9))) for _ in range(400)) for _ in range(10)]
+    texts += ["a<|endoftext|> b", " c", "", None, "d\n e", "f  g"]
+    for known in (True, False):  # ids whose bytes are not known are told apart by encoding each piece
+        encoder = tokens.PieceEncoder(tokenizer_path(), 2)
+        encoder.tokenizer = Counting(encoder.tokenizer)
+        encoder.id_bytes = encoder.id_bytes * known
+        ids, counts = encoder.encode(texts)
+        asked = encoder.tokenizer.texts
+        for t, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+            assert part.tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
+        again = [encoder.encode(x) for _, x in tokens.text_slices(pa.array(["x", *texts]).slice(1), 3000)]
+        assert len(again) > 5 and np.concatenate([x[0] for x in again]).tolist() == ids.tolist()
+        assert asked == encoder.tokenizer.texts and (asked < 200 or not known)
+    assert [len(x) for x in tokens.encoder_for(tokenizer_path(), 2).encode([])] == [0, 0]
+
+
 def plain_digests(rows, encoder):
     out, start = [], 0
     for doc_id, text in rows:
